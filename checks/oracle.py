@@ -361,7 +361,7 @@ FINAL = {
         JOIN t_customers_new c ON c.member_id = h.member_id""",
     "join_unified": """SELECT loan_id IS NOT NULL AS has_loan, repaid_id IS NOT NULL AS has_repayment,
         delinq_id IS NOT NULL AS has_delinq, detail_id IS NOT NULL AS has_detail, count(*) AS n,
-        count(DISTINCT member_id) AS members, count(DISTINCT loan_id) AS loans
+        count(DISTINCT member_id) AS members, count(loan_id) AS loan_rows
         FROM t_unified GROUP BY ALL""",
     "anti_join_bad": f"""SELECT {LOANS_COLUMNS} FROM t_loans
         WHERE member_id NOT IN (SELECT member_id FROM t_bad)""",

@@ -199,7 +199,7 @@ def join_unified(t: dict[str, DataFrame]) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.countDistinct("member_id").alias("members"),
-            F.countDistinct("loan_id").alias("loans"),
+            F.count("loan_id").alias("loan_rows"),
         )
     )
 

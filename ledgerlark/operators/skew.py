@@ -16,9 +16,13 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class SkewLimits:
-    """A key is heavy above ``1 / max_keys`` of the rows, but never below ``min_rows`` rows."""
+    """A key is heavy above ``1 / max_keys`` of the rows, but never below ``min_rows`` rows.
 
-    max_keys: int = 1000
+    ``max_keys`` is about the number of shuffle partitions of a large job: a key below its share is
+    no larger than an average partition. At 64 bytes a key, the broadcast list stays below 1 MB.
+    """
+
+    max_keys: int = 10_000
     min_rows: int = 1_000_000
 
 
@@ -98,8 +102,9 @@ def sliced_star_join(
 
     Sides hold distinct column names besides the key. Every table that has a heavy key deals that
     key's rows out over slices of its own dimension and repeats them over the slices of the other
-    tables' dimensions, so each combination of rows meets exactly once. All joins use the same
-    columns (key and one slice number per table): each table is shuffled once.
+    tables' dimensions, so each combination of rows meets exactly once. The place in this grid is
+    one number, so all joins use the same two columns and each table is shuffled once. Keys that
+    are not heavy have a grid of one place.
 
     In a left join, a base row repeated over slices where the side has no row would show up as
     unmatched although it matches elsewhere. A heavy key of a side does have rows there, so for
@@ -126,22 +131,28 @@ def sliced_star_join(
     def slices(i: int) -> Column:
         return F.coalesce(F.col(f"_s{i}"), F.lit(1))
 
+    def grid(some) -> Column:
+        places = F.lit(1).cast("long")
+        for j in some:
+            places = places * slices(j)
+        return places
+
     def deal(i: int, table: DataFrame) -> DataFrame:
         tagged = table.join(F.broadcast(plan), key, "left")
         # Heavy keys of a side that the base lacks cannot reach the result: they go before the shuffle.
         tagged = tagged.where(F.col("_in_base").isNull() | F.col("_in_base"))
-        tagged = tagged.withColumn(f"_q{i}", _row_slice(table, slices(i)))
-        for j in dims:
-            if j != i:
-                every = F.explode(F.sequence(F.lit(0), slices(j) - 1))
-                tagged = tagged.withColumn(f"_q{j}", every)
-        unused = ["_in_base", *(f"_s{j}" for j in dims if i != 0 or j == 0)]
-        return tagged.drop(*unused)
-
-    on = [key, *(f"_q{j}" for j in dims)]
+        below, above = grid(range(i)), grid(range(i + 1, len(tables)))
+        own = _row_slice(table, slices(i))
+        repeats = F.explode(F.sequence(F.lit(0).cast("long"), below * above - 1))
+        placed = tagged.withColumn("_own", own).withColumn("_other", repeats)
+        rest = F.floor(F.col("_other") / below).cast("long")
+        place = F.pmod(F.col("_other"), below) + F.col("_own") * below + rest * below * slices(i)
+        unused = ["_own", "_other", "_in_base", *(f"_s{j}" for j in dims if i != 0 or j == 0)]
+        return placed.withColumn("_place", place).drop(*unused)
+
     joined = deal(0, base)
     for i, side in enumerate(sides, start=1):
-        joined = joined.join(deal(i, side.withColumn(f"_m{i}", F.lit(True))), on, how)
+        joined = joined.join(deal(i, side.withColumn(f"_m{i}", F.lit(True))), [key, "_place"], how)
         if how == "left":
             joined = joined.where((slices(i) == 1) | F.col(f"_m{i}").isNotNull())
     kept = [*base.columns, *(c for side in sides for c in side.columns if c != key)]

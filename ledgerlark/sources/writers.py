@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.cleaning import month_start
+from ledgerlark.sources.scratch import materialize
 
 SINGLE_FILE_ROWS = 1_000_000
 
@@ -22,12 +23,13 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_csv_single(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> bool:
     """Header CSV in one file, for lists whose size is checked first.
 
-    A frame above ``max_rows`` is written in parallel instead: the folder then holds the same rows
+    The list is stored in the scratch folder first, so its size is known without working it out
+    twice. Above ``max_rows`` it is written in parallel instead: the folder then holds the same rows
     in several files. Returns whether one file was written.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    # A shuffle to one partition keeps the work above it parallel; only the small result is in one task.
-    write_csv(df.repartition(1) if small else df, path)
+    stored = materialize(df, "list")
+    small = stored.count() <= max_rows
+    write_csv(stored.coalesce(1) if small else stored, path)
     return small
 
 

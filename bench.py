@@ -15,8 +15,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixture import raw_loans
-from checks.registry import QUERIES
+from checks.registry import QUERIES, raw_loans
 from ledgerlark.operators import identity as I
 from ledgerlark.operators import quality as Q
 from ledgerlark.plans.pipeline import write_tables

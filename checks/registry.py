@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixture import raw_loans
+from checks import fixture
 from ledgerlark import schema as S
 from ledgerlark.functions import points as P
 from ledgerlark.functions.points import ScoreParams
@@ -24,6 +24,7 @@ from ledgerlark.operators import scoring as R
 from ledgerlark.plans import marts as M
 from ledgerlark.plans import unified as U
 from ledgerlark.plans.pipeline import write_tables
+from ledgerlark.session import tune
 from ledgerlark.sources import readers, writers
 from ledgerlark.sources.scratch import materialize, scratch_path
 
@@ -32,6 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- inputs ------------------------------------------------------------------
 
 _TABLES: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_NEW: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _SCORES: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -39,6 +41,10 @@ def _session_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return spark.sparkContext.applicationId, sf_dir
 
 
+def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixture.raw_loans(tune(spark), sf_dir)
+
+
 def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.member_identity(raw_loans(spark, sf_dir))
 
@@ -58,8 +64,18 @@ def members(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {n: t[n] for n in ("customers", "delinq", "detail")}
 
 
-def bad_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.bad_members(members(spark, sf_dir))
+def without_bad(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The clean tables with the three member tables less repeated members, and the ``bad`` list.
+
+    Written on first use, as the quality job does for the scoring job.
+    """
+    key = _session_key(spark, sf_dir)
+    if key not in _NEW:
+        three = members(spark, sf_dir)
+        new = {n: materialize(Q.without_repeated(n, three), f"{n}_new") for n in three}
+        bad = materialize(Q.bad_members(three), "bad_members")
+        _NEW[key] = {**tables(spark, sf_dir), **new, "bad": bad}
+    return _NEW[key]
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +130,10 @@ def on_members(step: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
     return lambda spark, sf_dir: _plain(step(members(spark, sf_dir)))
 
 
+def on_good(step: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+    return lambda spark, sf_dir: _plain(step(without_bad(spark, sf_dir)))
+
+
 def on_scores(step: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: _plain(step(scores(spark, sf_dir)))
 
@@ -155,7 +175,7 @@ def sink_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sink_csv_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "bad_members_csv")
-    writers.write_csv_single(bad_list(spark, sf_dir), path)
+    writers.write_csv_single(Q.bad_members(members(spark, sf_dir)), path)
     return readers.read_csv_positional(spark, path, "member_id string")
 
 
@@ -245,32 +265,24 @@ ALTERNATIVE_PARAMS = ScoreParams(
 )
 
 
-def without_bad(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The three member tables less repeated members; loans and repayments as they are."""
-    three = {n: t[n] for n in ("customers", "delinq", "detail")}
-    return {**t, **{n: Q.without_repeated(n, three) for n in three}}
-
-
 def payment_history(t: dict[str, DataFrame]) -> DataFrame:
-    bad = Q.bad_members({n: t[n] for n in ("customers", "delinq", "detail")})
-    return R.score_payment_history(t["loans"], t["repayments"], bad)
+    return R.score_payment_history(t["loans"], t["repayments"], t["bad"])
 
 
 def defaulter_history(t: dict[str, DataFrame]) -> DataFrame:
-    good = without_bad(t)
-    return R.score_defaulter_history(good["detail"], good["delinq"], payment_history(t))
+    return R.score_defaulter_history(t["detail"], t["delinq"], payment_history(t))
 
 
 def financial_health(t: dict[str, DataFrame]) -> DataFrame:
-    return R.score_financial_health(defaulter_history(t), t["loans"], without_bad(t)["customers"])
+    return R.score_financial_health(defaulter_history(t), t["loans"], t["customers"], t["bad"])
 
 
 def join_member_health(t: dict[str, DataFrame]) -> DataFrame:
     loans = t["loans"].select("member_id", "loan_id", "loan_status", "funded_amount")
-    customers = without_bad(t)["customers"].select(
+    customers = t["customers"].select(
         "member_id", "home_ownership", "grade", "sub_grade", "total_high_credit_limit"
     )
-    return R.join_member_health(defaulter_history(t), loans, customers)
+    return R.join_member_health(defaulter_history(t), Q.anti_join_bad(loans, t["bad"]), customers)
 
 
 def loan_payment_points(column: str) -> Query:
@@ -293,7 +305,7 @@ def score_single_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pts_credit_limit(t: dict[str, DataFrame]) -> DataFrame:
     points = P.credit_limit_pts(F.col("funded_amount"), F.col("total_high_credit_limit"))
-    joined = t["loans"].join(without_bad(t)["customers"], "member_id")
+    joined = Q.anti_join_bad(t["loans"], t["bad"]).join(t["customers"], "member_id")
     return joined.select("loan_id", points.alias("credit_limit_pts"))
 
 
@@ -357,16 +369,12 @@ QUERIES: dict[str, Query] = {
         lambda df: K.filter_zero_date(K.filter_paid(K.repair_total_payment(df)))
     ),
     "join_loan_repayment": on_tables(lambda t: R.join_loan_repayment(t["loans"], t["repayments"])),
-    "join_member_history": on_tables(
-        lambda t: R.join_member_history(
-            without_bad(t)["detail"], without_bad(t)["delinq"], payment_history(t)
-        )
+    "join_member_history": on_good(
+        lambda t: R.join_member_history(t["detail"], t["delinq"], payment_history(t))
     ),
-    "join_member_health": on_tables(join_member_health),
+    "join_member_health": on_good(join_member_health),
     "join_unified": on_tables(join_unified),
-    "anti_join_bad": lambda spark, sf_dir: _plain(
-        Q.anti_join_bad(tables(spark, sf_dir)["loans"], bad_list(spark, sf_dir))
-    ),
+    "anti_join_bad": on_good(lambda t: Q.anti_join_bad(t["loans"], t["bad"])),
     "union_bad": on_members(Q.union_bad),
     "union_bad_distinct": on_members(lambda t: Q.union_bad(t).distinct()),
     # 2.4 aggregations
@@ -416,7 +424,7 @@ QUERIES: dict[str, Query] = {
     "score_params": on_tables(lambda t: R.score_pipeline(t, params=ALTERNATIVE_PARAMS)),
     "pts_last_payment": loan_payment_points("last_payment_pts"),
     "pts_total_payment": loan_payment_points("total_payment_pts"),
-    "score_payment_history": on_tables(payment_history),
+    "score_payment_history": on_good(payment_history),
     "pts_delinquency": on_tables(lambda t: R.delinquency_points(t["delinq"])),
     "pts_public_records": on_tables(
         lambda t: R.record_points(t["detail"]).select("member_id", "public_records_pts")
@@ -425,7 +433,7 @@ QUERIES: dict[str, Query] = {
         lambda t: R.record_points(t["detail"]).select("member_id", "public_bankruptcies_pts")
     ),
     "pts_enquiries": on_tables(lambda t: R.record_points(t["detail"]).select("member_id", "enq_pts")),
-    "score_defaulter_history": on_tables(defaulter_history),
+    "score_defaulter_history": on_good(defaulter_history),
     "pts_loan_status": on_tables(
         lambda t: t["loans"].select(
             "loan_id", P.loan_status_pts(F.col("loan_status")).alias("loan_status_pts")
@@ -434,14 +442,14 @@ QUERIES: dict[str, Query] = {
     "pts_home": on_tables(
         lambda t: R.customer_points(t["customers"]).select("member_id", "home_pts")
     ),
-    "pts_credit_limit": on_tables(pts_credit_limit),
+    "pts_credit_limit": on_good(pts_credit_limit),
     "pts_grade": on_tables(
         lambda t: R.customer_points(t["customers"]).select("member_id", "grade_pts")
     ),
-    "score_financial_health": on_tables(financial_health),
-    "score_components": on_tables(lambda t: R.score_components(financial_health(t))),
-    "loan_score": on_tables(lambda t: R.loan_score(R.score_components(financial_health(t)))),
-    "loan_final_grade": on_tables(lambda t: R.finish_score(financial_health(t))),
+    "score_financial_health": on_good(financial_health),
+    "score_components": on_good(lambda t: R.score_components(financial_health(t))),
+    "loan_score": on_good(lambda t: R.loan_score(R.score_components(financial_health(t)))),
+    "loan_final_grade": on_good(lambda t: R.finish_score(financial_health(t))),
     "score_pipeline": on_tables(R.score_pipeline),
     "score_single_pass": score_single_pass,
     # 2.8 dashboard

@@ -183,13 +183,13 @@ def finish_score(points: DataFrame, params: ScoreParams = DEFAULT_PARAMS) -> Dat
     return loan_final_grade(loan_score(score_components(points, params)), params)
 
 
-def score_pipeline(
+def score_points(
     tables: Mapping[str, DataFrame],
     bad: DataFrame | None = None,
     params: ScoreParams = DEFAULT_PARAMS,
     limits: SkewLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """Loan scores from the five clean tables ``customers, loans, repayments, delinq, detail``.
+    """All points of each loan, from ``customers, loans, repayments, delinq, detail``.
 
     With a ``bad`` list its members are removed. Without one, the members repeated in customers,
     delinq or detail are: every scored member then has exactly one row in each of the three, so
@@ -203,7 +203,7 @@ def score_pipeline(
     if bad is not None:
         payment = score_payment_history(loans, repayments, bad, params, limits)
         history = score_defaulter_history(detail, delinq, payment, None, params, limits)
-        return finish_score(score_financial_health(history, loans, customers, None, params, limits), params)
+        return score_financial_health(history, loans, customers, None, params, limits)
 
     detail_pts = unique_rows(record_points(detail, params))
     delinq_pts = unique_rows(delinquency_points(delinq, params))
@@ -216,7 +216,17 @@ def score_pipeline(
     kept = drop_heavy_orphans(loans, unique_rows(detail.select("member_id")), "member_id", limits)
     payment = score_payment_history(kept, repayments, None, params, limits)
     history = _join_history(detail_pts, delinq_pts, payment, params)
-    return finish_score(_health(history, loan_points(kept, params), customer_pts, params), params)
+    return _health(history, loan_points(kept, params), customer_pts, params)
+
+
+def score_pipeline(
+    tables: Mapping[str, DataFrame],
+    bad: DataFrame | None = None,
+    params: ScoreParams = DEFAULT_PARAMS,
+    limits: SkewLimits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """Loan scores and final grades from the five clean tables, see :func:`score_points`."""
+    return finish_score(score_points(tables, bad, params, limits), params)
 
 
 def score_single_pass(raw_with_key: DataFrame, params: ScoreParams = DEFAULT_PARAMS) -> DataFrame:

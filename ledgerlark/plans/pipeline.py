@@ -19,9 +19,8 @@ from ledgerlark.sources.writers import write_csv, write_parquet
 CLEAN_TABLES = ("customers", "loans", "repayments", "delinq", "detail")
 
 
-def clean_tables(raw: DataFrame, ingest_at: datetime | None = None) -> dict[str, DataFrame]:
-    """The five clean tables of a raw loan frame, lazily."""
-    keyed = I.member_identity(raw)
+def clean_tables(keyed: DataFrame, ingest_at: datetime | None = None) -> dict[str, DataFrame]:
+    """The five clean tables of a raw loan frame with its member key, lazily."""
     defaulters = I.defaulters_entity(keyed)
     return {
         "customers": K.clean_customers(I.customers_entity(keyed), ingest_at),
@@ -37,9 +36,9 @@ def write_tables(
     path_for: Callable[[str], str],
     ingest_at: datetime | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the raw frame's used columns once, then the five clean tables; return what was written.
+    """Write the raw frame with its member key, then the five clean tables; return what was written.
 
-    The keyed raw rows are written first so that CSV parsing and hashing happen once, not once per
+    The keyed rows are written first so that CSV parsing and hashing happen once, not once per
     entity. Written tables also survive the loss of any executor.
     """
     spark = raw.sparkSession
@@ -48,10 +47,8 @@ def write_tables(
         write_parquet(df, path_for(name))
         return spark.read.schema(df.schema).parquet(path_for(name))
 
-    kept = stored("normalized", raw)
-    return {
-        name: widen(stored(name, df)) for name, df in clean_tables(kept, ingest_at).items()
-    }
+    keyed = stored("normalized", I.member_identity(raw))
+    return {name: widen(stored(name, df)) for name, df in clean_tables(keyed, ingest_at).items()}
 
 
 def run_pipeline(

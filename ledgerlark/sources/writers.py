@@ -9,6 +9,7 @@ from ledgerlark.functions.cleaning import month_start
 from ledgerlark.sources.scratch import materialize
 
 SINGLE_FILE_ROWS = 1_000_000
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -77,8 +78,17 @@ def write_partitioned(
         .drop("_bucket")
     )
     if spark.catalog.tableExists(name):
-        # insertInto goes by position, and the partition column is last in both.
-        rows.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+        # insertInto goes by position, and the partition column is last in both. It takes the
+        # overwrite mode from the session only.
+        before = spark.conf.get(OVERWRITE_MODE, None)
+        spark.conf.set(OVERWRITE_MODE, "dynamic")
+        try:
+            rows.write.insertInto(name, overwrite=True)
+        finally:
+            if before is None:
+                spark.conf.unset(OVERWRITE_MODE)
+            else:
+                spark.conf.set(OVERWRITE_MODE, before)
         return
     writer = (
         rows.write.mode("errorifexists")

@@ -271,6 +271,11 @@ def _pts(name: str, keys: str, tables: str) -> str:
     return f"SELECT {keys}, {_rule(name)} FROM {tables}"
 
 
+def _merged(columns, count: str, table: str) -> str:
+    largest = ", ".join(f"max({c}) AS {c}" for c in columns)
+    return f"SELECT member_id, count(*) AS {count}, {largest} FROM {table} GROUP BY member_id"
+
+
 def _money(column: str) -> str:
     return f"cast(sum(cast({column} AS DECIMAL(18,2))) AS DOUBLE)"
 
@@ -303,7 +308,8 @@ FINAL = {
     "sink_table": "SELECT * FROM t_detail",
     "sink_partitioned": f"SELECT {LOANS_COLUMNS}, {ISSUE_YEAR} AS issue_year FROM t_loans",
     "star_schema": f"""SELECT {ISSUE_YEAR} AS issue_year, p.grade, l.loan_status, count(*) AS loans,
-        {_money("l.funded_amount")} AS funded_amount
+        {_money("l.funded_amount")} AS funded_amount,
+        {_money("l.total_payment_received")} AS total_payment_received
         FROM (SELECT l.*, r.total_payment_received FROM t_loans l LEFT JOIN t_repayments r
             ON l.loan_id = r.loan_id) l JOIN t_profile p ON l.member_id = p.member_id
         GROUP BY 1, 2, 3""",
@@ -460,14 +466,14 @@ FINAL = {
     "verify_dedup": """SELECT max(n) AS most_rows, max(n) <= 1 AS passed
         FROM (SELECT count(*) AS n FROM t_customers_new GROUP BY member_id)""",
     "unified_table": f"SELECT {_cols(S.UNIFIED_COLUMNS)} FROM t_unified",
-    "unified_table_loan_grain": f"""SELECT c.*, d.* EXCLUDE (member_id), e.* EXCLUDE (member_id),
-        l.loan_id, {_cols(S.UNIFIED_LOAN, "l.")}, {_cols(S.UNIFIED_REPAYMENT, "r.")}
-        FROM (SELECT member_id, count(*) AS customer_rows, max(annual_income) AS annual_income,
-            max(total_high_credit_limit) AS total_high_credit_limit FROM t_customers GROUP BY 1) c
-        LEFT JOIN (SELECT member_id, count(*) AS delinq_rows, max(delinq_2yrs) AS delinq_2yrs
-            FROM t_delinq GROUP BY 1) d ON c.member_id = d.member_id
-        LEFT JOIN (SELECT member_id, count(*) AS detail_rows, {", ".join(
-            f"max({n}) AS {n}" for n in S.RECORD_COUNTS)} FROM t_detail GROUP BY 1) e
+    "unified_table_loan_grain": f"""SELECT l.loan_id, {_cols(S.UNIFIED_CUSTOMER, "c.")},
+        {_cols(S.UNIFIED_LOAN, "l.")}, {_cols(S.UNIFIED_REPAYMENT, "r.")},
+        {_cols(S.UNIFIED_DELINQUENCY, "d.")}, {_cols(S.UNIFIED_DETAIL, "e.")},
+        c.customer_rows, d.delinq_rows, e.detail_rows
+        FROM ({_merged(S.UNIFIED_CUSTOMER[1:], "customer_rows", "t_customers")}) c
+        LEFT JOIN ({_merged(S.UNIFIED_DELINQUENCY, "delinq_rows", "t_delinq")}) d
+            ON c.member_id = d.member_id
+        LEFT JOIN ({_merged(S.UNIFIED_DETAIL, "detail_rows", "t_detail")}) e
             ON c.member_id = e.member_id
         LEFT JOIN t_loans l ON c.member_id = l.member_id
         LEFT JOIN t_repayments r ON l.loan_id = r.loan_id""",

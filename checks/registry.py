@@ -24,7 +24,7 @@ from ledgerlark.operators import scoring as R
 from ledgerlark.plans import marts as M
 from ledgerlark.plans import unified as U
 from ledgerlark.plans.pipeline import write_tables
-from ledgerlark.session import tune
+from ledgerlark.session import stored_bytes, tune
 from ledgerlark.sources import readers, writers
 from ledgerlark.sources.scratch import materialize, scratch_path
 
@@ -42,7 +42,8 @@ def _session_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 
 def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture.raw_loans(tune(spark), sf_dir)
+    paths = [f"{sf_dir}/{name}.parquet" for name in ("orders", "customer")]
+    return fixture.raw_loans(tune(spark, stored_bytes(spark, *paths)), sf_dir)
 
 
 def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -477,5 +478,5 @@ QUERIES: dict[str, Query] = {
     "detail_new": on_members(lambda t: Q.without_repeated("detail", t)),
     "verify_dedup": on_members(lambda t: Q.verify_dedup(Q.without_repeated("customers", t))),
     "unified_table": on_tables(U.unified_table),
-    "unified_table_loan_grain": on_tables(lambda t: U.unified_table(t, grain="loan").drop(U.REPAYMENT_MARK)),
+    "unified_table_loan_grain": on_tables(lambda t: U.unified_table(t, grain="loan")),
 }

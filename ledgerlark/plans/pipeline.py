@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,12 @@ def write_tables(
         return spark.read.schema(df.schema).parquet(path_for(name))
 
     keyed = stored("normalized", I.member_identity(raw))
-    return {name: widen(stored(name, df)) for name, df in clean_tables(keyed, ingest_at).items()}
+    entities = clean_tables(keyed, ingest_at)
+    # The five writes do not depend on each other: submitted together, one fills the slots that the
+    # last tasks of another leave free.
+    with ThreadPoolExecutor(len(entities)) as pool:
+        written = list(pool.map(stored, entities, entities.values()))
+    return {name: widen(df) for name, df in zip(entities, written, strict=True)}
 
 
 def run_pipeline(

@@ -14,8 +14,31 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITION_BYTES = 128 * 1024 * 1024
+# Above this a shuffle's many small blocks cost more than smaller partitions gain.
+MOST_PARTITIONS = 50_000
 
-def tune(spark: SparkSession) -> SparkSession:
+
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of files or folders, asked of their file system."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = (jvm.org.apache.hadoop.fs.Path(p) for p in paths)
+    return sum(p.getFileSystem(conf).getContentSummary(p).getLength() for p in found)
+
+
+def shuffle_partitions(input_bytes: int, current: int) -> int:
+    """Partitions a shuffle starts with; small ones are merged again at run time."""
+    return max(current, min(MOST_PARTITIONS, -(-input_bytes // PARTITION_BYTES)))
+
+
+def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the settings; with ``input_bytes``, shuffles start with a partition per 128 MB of input."""
     for name, value in RECOMMENDED.items():
         spark.conf.set(name, value)
+    if input_bytes is not None:
+        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = shuffle_partitions(input_bytes, current)
+        if wanted > current:
+            spark.conf.set(INITIAL_PARTITIONS, str(wanted))
     return spark

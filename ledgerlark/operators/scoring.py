@@ -11,7 +11,7 @@ from ledgerlark.functions import points as P
 from ledgerlark.functions.points import DEFAULT_PARAMS, ScoreParams
 from ledgerlark.operators import clean as K
 from ledgerlark.operators.quality import anti_join_bad, unique_rows
-from ledgerlark.operators.skew import DEFAULT_LIMITS, SkewLimits, drop_heavy_orphans
+from ledgerlark.operators.skew import DEFAULT_LIMITS, SkewLimits, drop_heavy
 
 PAYMENT_PTS = ("last_payment_pts", "total_payment_pts")
 DEFAULTER_PTS = ("delinq_pts", "public_records_pts", "public_bankruptcies_pts", "enq_pts")
@@ -212,8 +212,9 @@ def score_points(
         counts = delinq.groupBy("member_id").agg(F.count(F.lit(1)).alias("_n"))
         detail_pts = detail_pts.join(counts.where("_n > 1"), "member_id", "left_anti")
     customer_pts = unique_rows(customer_points(customers, params))
-    # A hot member in loans is repeated in detail, so it is known to be left out: drop it early.
-    kept = drop_heavy_orphans(loans, unique_rows(detail.select("member_id")), "member_id", limits)
+    # A member with many loans has as many detail rows, so it is repeated and gets no score. The
+    # heaviest of these leave before the loans are shuffled.
+    kept = drop_heavy(loans, detail, "member_id", limits)
     payment = score_payment_history(kept, repayments, None, params, limits)
     history = _join_history(detail_pts, delinq_pts, payment, params)
     return _health(history, loan_points(kept, params), customer_pts, params)

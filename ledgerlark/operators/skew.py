@@ -77,18 +77,13 @@ def anti_join(
     return tagged.join(probes, "_probe", "left_anti").select(*df.columns)
 
 
-def drop_heavy_orphans(
-    df: DataFrame, partner: DataFrame, key: str, limits: SkewLimits = DEFAULT_LIMITS
-) -> DataFrame:
-    """Leave out rows of heavy keys that ``partner`` does not have.
+def drop_heavy(df: DataFrame, counted: DataFrame, key: str, limits: SkewLimits = DEFAULT_LIMITS) -> DataFrame:
+    """Leave out the rows whose key is heavy in ``counted``, by a broadcast of those few keys.
 
-    For a ``df`` about to be joined with ``partner`` such that only keys of ``partner`` can appear
-    in the result. Light keys without a partner are left for the join itself.
+    For keys that cannot reach the result because they are repeated in ``counted``: the light ones
+    among them are left for the join that drops them.
     """
-    heavy = heavy_keys(df, key, limits).select(key)
-    paired = partner.select(key).join(F.broadcast(heavy), key, "left_semi").distinct()
-    orphans = heavy.join(F.broadcast(paired), key, "left_anti")
-    return df.join(F.broadcast(orphans), key, "left_anti")
+    return df.join(F.broadcast(heavy_keys(counted, key, limits).select(key)), key, "left_anti")
 
 
 def sliced_star_join(
@@ -97,9 +92,15 @@ def sliced_star_join(
     key: str,
     how: str = "left",
     limits: SkewLimits = DEFAULT_LIMITS,
+    counted: Sequence[DataFrame | None] | None = None,
+    base_keys: DataFrame | None = None,
 ) -> DataFrame:
     """``base`` joined with each of ``sides`` on ``key`` (``left`` or ``inner``), without a hot task.
 
+    ``counted`` may name, for ``base`` and each side, a cheaper frame that has the same keys in about
+    the same numbers, or None for a table with one row per key; ``base_keys`` one with the base's
+    keys. Heavy keys are searched there, so that a join in ``base`` is not worked out twice.
+
     Sides hold distinct column names besides the key. Every table that has a heavy key deals that
     key's rows out over slices of its own dimension and repeats them over the slices of the other
     tables' dimensions, so each combination of rows meets exactly once. The place in this grid is
@@ -116,11 +117,14 @@ def sliced_star_join(
     dims = range(len(tables))
 
     found = None
-    for i, table in enumerate(tables):
+    for i, table in enumerate(tables if counted is None else counted):
+        if table is None:
+            continue
         one = heavy_keys(table, key, limits).select(key, F.lit(i).alias("_dim"), "slices")
         found = one if found is None else found.unionByName(one)
     # Both lists have at most len(tables) * max_keys rows.
-    in_base = base.select(key).join(F.broadcast(found.select(key).distinct()), key, "left_semi").distinct()
+    in_base = (base if base_keys is None else base_keys).select(key)
+    in_base = in_base.join(F.broadcast(found.select(key).distinct()), key, "left_semi").distinct()
     plan = (
         found.groupBy(key)
         .agg(*(F.max(F.when(F.col("_dim") == i, F.col("slices"))).alias(f"_s{i}") for i in dims))

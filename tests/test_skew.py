@@ -88,11 +88,19 @@ def test_null_in_list_is_an_error(spark):
         W.anti_join(df, bad, "k").collect()
 
 
-def test_orphans(spark):
+def test_drop_heavy(spark):
     df = frame(spark, "x", {"h": 60, "g": 50, "a": 2, "light": 1})
-    partner = frame(spark, "y", {"g": 1, "a": 1})
-    kept = W.drop_heavy_orphans(df, partner, "k", LIMITS)
-    assert rows(kept.groupBy("k").agg(F.count(F.lit(1)))) == [("a", 2), ("g", 50), ("light", 1)]
+    counted = frame(spark, "y", {"g": 40, "a": 1, "light": 2})
+    kept = W.drop_heavy(df, counted, "k", LIMITS)
+    assert rows(kept.groupBy("k").agg(F.count(F.lit(1)))) == [("a", 2), ("h", 60), ("light", 1)]
+
+
+def test_star_join_counts_on_given_frames(spark):
+    base = frame(spark, "x", {"h": 1, "a": 1, "b": 1})
+    loans = frame(spark, "y", {"h": 200, "g": 300, "a": 2})
+    extra = loans.withColumn("z", F.col("y") * 2)
+    got = W.sliced_star_join(base, [extra], "k", "left", LIMITS, [None, loans.select("k")], base.select("k"))
+    assert rows(got) == rows(base.join(extra, "k", "left"))
 
 
 def test_unknown_join_type(spark):

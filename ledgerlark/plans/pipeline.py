@@ -15,7 +15,7 @@ from ledgerlark.operators import quality as Q
 from ledgerlark.operators.scoring import score_pipeline
 from ledgerlark.plans.unified import unified_table
 from ledgerlark.sources.readers import widen
-from ledgerlark.sources.writers import write_csv, write_parquet
+from ledgerlark.sources.writers import write_csv, write_parquet, write_partitioned, write_table
 
 CLEAN_TABLES = ("customers", "loans", "repayments", "delinq", "detail")
 
@@ -91,3 +91,21 @@ def export_csv(tables: dict[str, DataFrame], target: str) -> None:
     """CSV copies of written tables, one folder each."""
     for name, df in tables.items():
         write_csv(df, f"{target}/{name}")
+
+
+def publish_tables(
+    tables: dict[str, DataFrame],
+    prefix: str = "",
+    fmt: str | None = None,
+    options: dict[str, str] | None = None,
+) -> None:
+    """Put written tables into the warehouse as ``<prefix><name>``.
+
+    In the session's own catalog ``loans`` becomes the partitioned and bucketed table; with ``fmt``
+    all tables go through that connector.
+    """
+    for name, df in tables.items():
+        if name == "loans" and fmt is None:
+            write_partitioned(df, f"{prefix}{name}")
+        else:
+            write_table(df, f"{prefix}{name}", fmt, options)

@@ -140,3 +140,18 @@ def test_export(spark, pipeline, tmp_path):
     export_csv({"bad_members": pipeline[1]["bad_members"]}, str(tmp_path))
     back = spark.read.csv(str(tmp_path / "bad_members"), header=True)
     assert rows(back) == rows(pipeline[1]["bad_members"])
+
+
+def test_command_line(spark, tables, tmp_path):
+    """Raw CSV in; Parquet, CSV and warehouse tables out, with the same scores."""
+    from ledgerlark.__main__ import main
+
+    raw_loans(spark, SMALL).write.csv(str(tmp_path / "raw"), header=True, ignoreLeadingWhiteSpace=False)
+    target, copies = tmp_path / "out", tmp_path / "csv"
+    main([str(tmp_path / "raw"), str(target), "--csv", str(copies), "--tables", "cli_", "--no-unified"])
+    expected = rows(score_pipeline(tables))
+    assert rows(spark.read.parquet(str(target / "loan_score"))) == expected
+    assert rows(spark.table("cli_loan_score")) == expected
+    assert not (target / "unified").exists()
+    assert spark.table("cli_loans").count() == tables["loans"].count()
+    assert spark.read.csv(str(copies / "loan_score"), header=True).count() == len(expected)

@@ -53,12 +53,12 @@ def split_defaulters(raw_with_key: DataFrame) -> DataFrame:
     return _entity(raw_with_key, S.DEFAULTERS_SOURCE)
 
 
-def conform(df: DataFrame, ddl: str) -> DataFrame:
-    """Give an entity the names and types of ``ddl`` by position, as a trip through CSV would.
+def conform(df: DataFrame, layout: str | StructType) -> DataFrame:
+    """Give an entity the names and types of ``layout`` by position, as a trip through CSV would.
 
     Text loses outer blanks, empty text becomes NULL, a number that does not fit becomes NULL.
     """
-    target = StructType.fromDDL(ddl)
+    target = StructType.fromDDL(layout) if isinstance(layout, str) else layout
     if len(target) != len(df.columns):
         raise ValueError(f"expected {len(target)} columns, got {len(df.columns)}")
     picked = []
@@ -85,3 +85,18 @@ def repayments_entity(raw_with_key: DataFrame) -> DataFrame:
 
 def defaulters_entity(raw_with_key: DataFrame) -> DataFrame:
     return conform(split_defaulters(raw_with_key), S.DEFAULTERS_DDL)
+
+
+def all_entities(raw_with_key: DataFrame) -> DataFrame:
+    """The conformed columns of the four entities side by side, one row per raw row."""
+    layouts = (
+        (S.LOANS_SOURCE, S.LOANS_DDL),
+        (S.REPAYMENTS_SOURCE, S.REPAYMENTS_DDL),
+        (S.CUSTOMERS_SOURCE, S.CUSTOMERS_DDL),
+        (S.DEFAULTERS_SOURCE, S.DEFAULTERS_DDL),
+    )
+    fields = {}
+    for columns, ddl in layouts:
+        for column, field in zip(columns, StructType.fromDDL(ddl), strict=True):
+            fields.setdefault(column, field)
+    return conform(_entity(raw_with_key, fields), StructType(list(fields.values())))

@@ -7,11 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlark import schema as S
 from ledgerlark.functions import points as P
 from ledgerlark.functions.points import DEFAULT_PARAMS, ScoreParams
 from ledgerlark.operators import clean as K
+from ledgerlark.operators.identity import all_entities
 from ledgerlark.operators.quality import anti_join_bad, unique_rows
 from ledgerlark.operators.skew import DEFAULT_LIMITS, SkewLimits, drop_heavy
+from ledgerlark.sources.readers import widen
 
 PAYMENT_PTS = ("last_payment_pts", "total_payment_pts")
 DEFAULTER_PTS = ("delinq_pts", "public_records_pts", "public_bankruptcies_pts", "enq_pts")
@@ -240,29 +243,7 @@ def score_single_pass(raw_with_key: DataFrame, params: ScoreParams = DEFAULT_PAR
     members with a single row. Needs ``id`` to be unique, as the raw file's key: see
     :func:`check_unique`.
     """
-    from ledgerlark import schema as S
-    from ledgerlark.functions import cleaning as C
-    from ledgerlark.operators.identity import conform
-
-    # One row with the conformed columns of all entities; shared columns are the same values.
-    entity = raw_with_key.select(
-        F.col("name_sha2").alias("member_id"), "home_ownership", "annual_inc", "grade", "sub_grade",
-        "tot_hi_cred_lim", "loan_amnt", "funded_amnt", "term", "int_rate", "installment", "issue_d",
-        "loan_status", "purpose", "total_rec_prncp", "total_rec_int", "total_rec_late_fee",
-        "total_pymnt", "last_pymnt_amnt", "delinq_2yrs", "pub_rec", "pub_rec_bankruptcies",
-        "inq_last_6mths", "mths_since_last_delinq", "id",
-    )
-    row = conform(
-        entity,
-        "member_id string, home_ownership string, annual_income float, grade string, "
-        "sub_grade string, total_high_credit_limit float, loan_amount float, funded_amount float, "
-        "loan_term_months string, interest_rate float, monthly_installment float, "
-        "issue_date string, loan_status string, loan_purpose string, "
-        "total_principal_received float, total_interest_received float, "
-        "total_late_fee_received float, total_payment_received float, last_payment_amount float, "
-        "delinq_2yrs float, pub_rec float, pub_rec_bankruptcies float, inq_last_6mths float, "
-        "mths_since_last_delinq float, loan_id string",
-    )
+    row = K.rename_customers(all_entities(raw_with_key))
     row = K.clean_counts(K.repair_total_payment(row), ["delinq_2yrs", *S.RECORD_COUNTS])
     required = [*S.LOAN_REQUIRED, *S.REPAYMENT_REQUIRED, "annual_income", "loan_id"]
     complete = F.lit(True)
@@ -274,20 +255,22 @@ def score_single_pass(raw_with_key: DataFrame, params: ScoreParams = DEFAULT_PAR
     if not params.score_undelinquent:
         usable = usable & delinquent
     # Widened as in the warehouse, so that points compare the same double values.
-    wide = {c: F.col(c).cast("double") for c, t in row.dtypes if t == "float"}
-    row = row.withColumn("_usable", F.coalesce(usable, F.lit(False))).withColumns(wide)
-    points = row.select(
+    wide = widen(row.withColumn("_usable", F.coalesce(usable, F.lit(False))))
+    paid_pts = P.last_payment_pts(F.col("last_payment_amount"), F.col("monthly_installment"), params)
+    total_pts = P.total_payment_pts(F.col("total_payment_received"), F.col("funded_amount"), params)
+    credit = P.credit_limit_pts(F.col("funded_amount"), F.col("total_high_credit_limit"), params)
+    points = wide.select(
         "member_id",
         "_usable",
-        P.last_payment_pts(F.col("last_payment_amount"), F.col("monthly_installment"), params).alias("last_payment_pts"),
-        P.total_payment_pts(F.col("total_payment_received"), F.col("funded_amount"), params).alias("total_payment_pts"),
+        paid_pts.alias("last_payment_pts"),
+        total_pts.alias("total_payment_pts"),
         P.delinquency_pts(F.col("delinq_2yrs"), params).alias("delinq_pts"),
         P.public_record_pts(F.col("pub_rec"), params).alias("public_records_pts"),
         P.bankruptcy_pts(F.col("pub_rec_bankruptcies"), params).alias("public_bankruptcies_pts"),
         P.enquiry_pts(F.col("inq_last_6mths"), params).alias("enq_pts"),
         P.loan_status_pts(F.col("loan_status"), params).alias("loan_status_pts"),
         P.home_pts(F.col("home_ownership"), params).alias("home_pts"),
-        P.credit_limit_pts(F.col("funded_amount"), F.col("total_high_credit_limit"), params).alias("credit_limit_pts"),
+        credit.alias("credit_limit_pts"),
         P.grade_pts(F.col("grade"), F.col("sub_grade"), params).alias("grade_pts"),
     )
     return finish_score(unique_rows(points).where("_usable").drop("_usable"), params)

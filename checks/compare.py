@@ -74,7 +74,8 @@ def main(sf_dir: str, names: list[str]) -> int:
         except Exception as error:  # noqa: BLE001  report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         failed += problem is not None
-        print(f"{'ok ' if problem is None else 'BAD'} {name} {time.perf_counter() - start:.1f}s {problem or ''}", flush=True)
+        verdict = "ok " if problem is None else "BAD"
+        print(f"{verdict} {name} {time.perf_counter() - start:.1f}s {problem or ''}", flush=True)
     print(f"{failed} of {len(names or QUERIES)} differ; without SQL: {sorted(set(QUERIES) - set(sql))}")
     return failed
 

@@ -29,6 +29,11 @@ def _less_bad(df: DataFrame, bad: DataFrame | None, limits: SkewLimits) -> DataF
     return df if bad is None else anti_join_bad(df, bad, limits=limits)
 
 
+def _less_heavy_bad(df: DataFrame, bad: DataFrame | None, limits: SkewLimits) -> DataFrame:
+    """For a side that an inner join with a side without bad members rids of the light ones."""
+    return df if bad is None else drop_heavy(df, df, "member_id", limits, bad)
+
+
 def join_loan_repayment(loans: DataFrame, repayments: DataFrame) -> DataFrame:
     return loans.join(repayments.drop("member_id", "ingest_date"), "loan_id")
 
@@ -102,7 +107,7 @@ def score_defaulter_history(
     """Payment points with the four points from delinquencies, records and enquiries."""
     joined = _join_history(
         _less_bad(record_points(detail, params), bad, limits),
-        delinquency_points(delinq, params),
+        _less_heavy_bad(delinquency_points(delinq, params), bad, limits),
         payment_pts,
         params,
     )
@@ -132,7 +137,9 @@ def join_member_health(history: DataFrame, loans: DataFrame, customers: DataFram
     return history.join(loans, "member_id").join(customers, "member_id")
 
 
-def _health(history: DataFrame, loan_pts: DataFrame, customer_pts: DataFrame, params: ScoreParams) -> DataFrame:
+def _health(
+    history: DataFrame, loan_pts: DataFrame, customer_pts: DataFrame, params: ScoreParams
+) -> DataFrame:
     joined = join_member_health(history, loan_pts, customer_pts)
     credit = P.credit_limit_pts(F.col("funded_amount"), F.col("total_high_credit_limit"), params)
     return joined.withColumn("credit_limit_pts", credit).select(
@@ -150,7 +157,8 @@ def score_financial_health(
 ) -> DataFrame:
     """History points with the four points from loan status, home, credit limit and grade."""
     kept = _less_bad(loan_points(loans, params), bad, limits)
-    return _health(history, kept, customer_points(customers, params), params)
+    customer_pts = _less_heavy_bad(customer_points(customers, params), bad, limits)
+    return _health(history, kept, customer_pts, params)
 
 
 def _total(columns: tuple[str, ...]):
@@ -205,8 +213,8 @@ def score_points(
     )
     if bad is not None:
         payment = score_payment_history(loans, repayments, bad, params, limits)
-        history = score_defaulter_history(detail, delinq, payment, None, params, limits)
-        return score_financial_health(history, loans, customers, None, params, limits)
+        history = score_defaulter_history(detail, delinq, payment, bad, params, limits)
+        return score_financial_health(history, loans, customers, bad, params, limits)
 
     detail_pts = unique_rows(record_points(detail, params))
     delinq_pts = unique_rows(delinquency_points(delinq, params))

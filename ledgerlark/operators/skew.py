@@ -77,13 +77,23 @@ def anti_join(
     return tagged.join(probes, "_probe", "left_anti").select(*df.columns)
 
 
-def drop_heavy(df: DataFrame, counted: DataFrame, key: str, limits: SkewLimits = DEFAULT_LIMITS) -> DataFrame:
+def drop_heavy(
+    df: DataFrame,
+    counted: DataFrame,
+    key: str,
+    limits: SkewLimits = DEFAULT_LIMITS,
+    listed: DataFrame | None = None,
+) -> DataFrame:
     """Leave out the rows whose key is heavy in ``counted``, by a broadcast of those few keys.
 
-    For keys that cannot reach the result because they are repeated in ``counted``: the light ones
-    among them are left for the join that drops them.
+    For keys that cannot reach the result, because they are repeated in ``counted`` or are in
+    ``listed``, the only ones looked at when it is given. The light ones among them are left for the
+    join that drops them.
     """
-    return df.join(F.broadcast(heavy_keys(counted, key, limits).select(key)), key, "left_anti")
+    heavy = heavy_keys(counted, key, limits).select(key)
+    if listed is not None:
+        heavy = listed.select(key).join(F.broadcast(heavy), key, "left_semi").distinct()
+    return df.join(F.broadcast(heavy), key, "left_anti")
 
 
 def sliced_star_join(

@@ -1,4 +1,11 @@
-from ledgerlark.session import INITIAL_PARTITIONS, MOST_PARTITIONS, RECOMMENDED, shuffle_partitions, stored_bytes, tune
+from ledgerlark.session import (
+    INITIAL_PARTITIONS,
+    MOST_PARTITIONS,
+    RECOMMENDED,
+    shuffle_partitions,
+    stored_bytes,
+    tune,
+)
 
 
 def test_partitions_follow_the_input():

@@ -99,6 +99,13 @@ def test_drop_heavy(spark):
     assert rows(kept.groupBy("k").agg(F.count(F.lit(1)))) == [("a", 2), ("h", 60), ("light", 1)]
 
 
+def test_drop_heavy_of_a_list(spark):
+    df = frame(spark, "x", {"h": 60, "g": 50, "a": 2})
+    listed = spark.createDataFrame([("h",), ("a",), ("z",)], "k string")
+    kept = W.drop_heavy(df, df, "k", LIMITS, listed)
+    assert rows(kept.groupBy("k").agg(F.count(F.lit(1)))) == [("a", 2), ("g", 50)]
+
+
 def test_star_join_counts_on_given_frames(spark):
     base = frame(spark, "x", {"h": 1, "a": 1, "b": 1})
     loans = frame(spark, "y", {"h": 200, "g": 300, "a": 2})

@@ -7,6 +7,7 @@ from checks.registry import raw_loans
 from conftest import SMALL, rows
 from ledgerlark import schema as S
 from ledgerlark.plans.pipeline import CLEAN_TABLES, export_csv, run_pipeline
+from ledgerlark.operators.quality import profile_nulls
 from ledgerlark.operators.scoring import score_pipeline
 from ledgerlark.sources import readers, scratch, writers
 
@@ -22,6 +23,8 @@ def test_positional_names_and_bad_numbers(spark, tmp_path):
     assert rows(df) == [(None, None), (None, None), (1, 2.5)]
     kept = readers.read_csv_positional(spark, str(path), "a int, b float", keep_corrupt=True)
     assert [r._corrupt_record for r in kept.collect() if r._corrupt_record] == ["x,y"]
+    # Rows that fit have no corrupt text: counted along with the NULLs of every column.
+    assert profile_nulls(kept).first().asDict() == {"a": 2, "b": 2, "_corrupt_record": 2}
 
 
 def test_inferred(spark, tmp_path):

@@ -15,9 +15,12 @@ RECOMMENDED = {
 }
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-PARTITION_BYTES = 128 * 1024 * 1024
-# Above this a shuffle's many small blocks cost more than smaller partitions gain.
-MOST_PARTITIONS = 50_000
+SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
+TARGET_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+MB = 1024 * 1024
+# Map tasks times shuffle partitions is the number of shuffle blocks: both are kept in bounds.
+MOST_PARTITIONS = 20_000
+MOST_SCAN_TASKS = 100_000
 
 
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
@@ -28,17 +31,33 @@ def stored_bytes(spark: SparkSession, *paths: str) -> int:
 
 
 def shuffle_partitions(input_bytes: int, current: int) -> int:
-    """Partitions a shuffle starts with; small ones are merged again at run time."""
-    return max(current, min(MOST_PARTITIONS, -(-input_bytes // PARTITION_BYTES)))
+    """Partitions a shuffle starts with, one per 128 MB; small ones are merged again at run time."""
+    return max(current, min(MOST_PARTITIONS, -(-input_bytes // (128 * MB))))
+
+
+def _between(low: int, value: int, high: int) -> int:
+    return max(low, min(value, high))
+
+
+def sized(input_bytes: int, current_partitions: int) -> dict[str, str]:
+    """Settings that grow with the input; at or below Spark's defaults they are left out."""
+    settings = {}
+    partitions = shuffle_partitions(input_bytes, current_partitions)
+    if partitions > current_partitions:
+        settings[INITIAL_PARTITIONS] = str(partitions)
+    per_task = input_bytes // MOST_SCAN_TASKS
+    if per_task > 128 * MB:
+        settings[SCAN_BYTES] = str(_between(128 * MB, per_task, 1024 * MB))
+    if per_task > 64 * MB:
+        settings[TARGET_BYTES] = str(_between(64 * MB, per_task, 256 * MB))
+    return settings
 
 
 def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Apply the settings; with ``input_bytes``, shuffles start with a partition per 128 MB of input."""
-    for name, value in RECOMMENDED.items():
-        spark.conf.set(name, value)
+    """Apply the recommended settings, with ``input_bytes`` also those that follow from its size."""
+    settings = dict(RECOMMENDED)
     if input_bytes is not None:
-        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted = shuffle_partitions(input_bytes, current)
-        if wanted > current:
-            spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+        settings |= sized(input_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     return spark

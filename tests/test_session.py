@@ -1,8 +1,12 @@
 from ledgerlark.session import (
     INITIAL_PARTITIONS,
+    MB,
     MOST_PARTITIONS,
     RECOMMENDED,
+    SCAN_BYTES,
+    TARGET_BYTES,
     shuffle_partitions,
+    sized,
     stored_bytes,
     tune,
 )
@@ -10,15 +14,27 @@ from ledgerlark.session import (
 
 def test_partitions_follow_the_input():
     assert shuffle_partitions(10, 8) == 8
-    assert shuffle_partitions(128 * 1024 * 1024 * 1000, 200) == 1000
+    assert shuffle_partitions(128 * MB * 1000, 200) == 1000
     assert shuffle_partitions(100 * 10**12, 200) == MOST_PARTITIONS
 
 
+def test_small_input_changes_nothing():
+    assert sized(50 * MB, 8) == {}
+
+
+def test_large_input_gets_larger_tasks():
+    assert sized(100 * 10**12, 200) == {
+        INITIAL_PARTITIONS: str(MOST_PARTITIONS),
+        SCAN_BYTES: str(10**9),
+        TARGET_BYTES: str(256 * MB),
+    }
+
+
 def test_settings_are_applied(spark):
     assert tune(spark) is spark
     assert all(spark.conf.get(name) == value for name, value in RECOMMENDED.items())
     try:
-        tune(spark, 128 * 1024 * 1024 * 300)
+        tune(spark, 128 * MB * 300)
         assert spark.conf.get(INITIAL_PARTITIONS) == "300"
     finally:
         spark.conf.unset(INITIAL_PARTITIONS)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixture
+from checks.oracle import UNIFIED_INTS, UNIFIED_SUMS
 from ledgerlark import schema as S
 from ledgerlark.functions import points as P
 from ledgerlark.functions.points import ScoreParams
@@ -225,16 +226,6 @@ def join_unified(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-UNIFIED_SUMS = (
-    "annual_income", "total_high_credit_limit", "join_annual_income", "loan_amount", "funded_amount",
-    "interest_rate", "monthly_installment", "total_principal_received", "total_interest_received",
-    "total_late_fee_received", "delinq_amnt",
-)
-UNIFIED_INTS = (
-    "emp_length", "loan_term_years", "delinq_2yrs", "mths_since_last_delinq", *S.RECORD_COUNTS,
-)
-
-
 def unified_select(t: dict[str, DataFrame]) -> DataFrame:
     """The 35 columns over the whole join, summed up per grade and state."""
     return (
@@ -300,7 +291,7 @@ def loan_payment_points(column: str) -> Query:
 
 
 def score_single_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = R.check_unique(raw_loans(spark, sf_dir), "id")
+    raw = Q.check_unique(raw_loans(spark, sf_dir), "id")
     return _plain(R.score_single_pass(I.member_identity(raw)))
 
 

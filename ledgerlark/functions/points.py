@@ -64,6 +64,23 @@ class ScoreParams:
 DEFAULT_PARAMS = ScoreParams()
 
 
+# fixed values: bands of a count, both ends included, after none and before many
+FEW = (1, 2)
+SOME = (3, 5)
+# fixed values: shares of an instalment and of the funded amount
+HALF_INSTALMENT, LONG_INSTALMENT = 0.5, 1.5
+HALF_FUNDED = 0.5
+# fixed values: loan status texts, lower case, the first one found counts
+STATUS_PAID = "fully paid"
+STATUS_CURRENT = "current"
+STATUS_GRACE = "in grace period"
+STATUS_LATE = ("late (16-30 days)", "late (31-120 days)")
+# fixed values: last letters of the home ownership text, lower case
+HOME_OWN, HOME_RENT, HOME_MORTGAGE, HOME_ANY = "own", "rent", "mortgage", "any"
+# fixed values: highest shares of the credit limit, from best rating to very bad
+LIMIT_SHARES = (0.10, 0.20, 0.30, 0.50, 0.70)
+
+
 def _first_match(rules: list[tuple[Column, int]], default: int | None = None) -> Column:
     """CASE over (condition, points); ``default`` None leaves unmatched rows NULL."""
     chain = F
@@ -76,18 +93,18 @@ def last_payment_pts(paid: Column, installment: Column, p: ScoreParams = DEFAULT
     part = p.very_bad_rated_pts if p.part_payment_pts is None else p.part_payment_pts
     return _first_match(
         [
-            (paid < installment * F.lit(0.5), p.very_bad_rated_pts),
+            (paid < installment * F.lit(HALF_INSTALMENT), p.very_bad_rated_pts),
             (paid < installment, part),
             (paid == installment, p.good_rated_pts),
-            (paid <= installment * F.lit(1.5), p.very_good_rated_pts),
-            (paid > installment * F.lit(1.5), p.excellent_rated_pts),
+            (paid <= installment * F.lit(LONG_INSTALMENT), p.very_good_rated_pts),
+            (paid > installment * F.lit(LONG_INSTALMENT), p.excellent_rated_pts),
         ],
         default=p.unacceptable_rated_pts,
     )
 
 
 def total_payment_pts(received: Column, funded: Column, p: ScoreParams = DEFAULT_PARAMS) -> Column:
-    half = funded * F.lit(0.5)
+    half = funded * F.lit(HALF_FUNDED)
     return _first_match(
         [
             (received >= half, p.very_good_rated_pts),
@@ -102,9 +119,9 @@ def count_pts(count: Column, many: int, p: ScoreParams = DEFAULT_PARAMS) -> Colu
     return _first_match(
         [
             (count == 0, p.excellent_rated_pts),
-            (count.between(1, 2), p.bad_rated_pts),
-            (count.between(3, 5), p.very_bad_rated_pts),
-            ((count > 5) | count.isNull(), many),
+            (count.between(*FEW), p.bad_rated_pts),
+            (count.between(*SOME), p.very_bad_rated_pts),
+            ((count > SOME[1]) | count.isNull(), many),
         ]
     )
 
@@ -128,13 +145,13 @@ def enquiry_pts(count: Column, p: ScoreParams = DEFAULT_PARAMS) -> Column:
 
 def loan_status_pts(status: Column, p: ScoreParams = DEFAULT_PARAMS) -> Column:
     text = F.lower(status)
-    late = text.contains("late (16-30 days)") | text.contains("late (31-120 days)")
+    shorter, longer = (text.contains(t) for t in STATUS_LATE)
     return _first_match(
         [
-            (text.contains("fully paid"), p.excellent_rated_pts),
-            (text.contains("current"), p.good_rated_pts),
-            (text.contains("in grace period"), p.bad_rated_pts),
-            (late, p.very_bad_rated_pts),
+            (text.contains(STATUS_PAID), p.excellent_rated_pts),
+            (text.contains(STATUS_CURRENT), p.good_rated_pts),
+            (text.contains(STATUS_GRACE), p.bad_rated_pts),
+            (shorter | longer, p.very_bad_rated_pts),
         ],
         default=p.unacceptable_rated_pts,
     )
@@ -144,25 +161,25 @@ def home_pts(ownership: Column, p: ScoreParams = DEFAULT_PARAMS) -> Column:
     text = F.lower(ownership)
     return _first_match(
         [
-            (text.endswith("own"), p.excellent_rated_pts),
-            (text.endswith("rent"), p.good_rated_pts),
-            (text.endswith("mortgage"), p.bad_rated_pts),
-            (text.endswith("any") | text.isNull(), p.very_bad_rated_pts),
+            (text.endswith(HOME_OWN), p.excellent_rated_pts),
+            (text.endswith(HOME_RENT), p.good_rated_pts),
+            (text.endswith(HOME_MORTGAGE), p.bad_rated_pts),
+            (text.endswith(HOME_ANY) | text.isNull(), p.very_bad_rated_pts),
         ],
         default=p.other_home_pts,
     )
 
 
 def credit_limit_pts(funded: Column, limit: Column, p: ScoreParams = DEFAULT_PARAMS) -> Column:
-    bands = [
-        (0.10, p.excellent_rated_pts),
-        (0.20, p.very_good_rated_pts),
-        (0.30, p.good_rated_pts),
-        (0.50, p.bad_rated_pts),
-        (0.70, p.very_bad_rated_pts),
-    ]
+    ratings = (
+        p.excellent_rated_pts, p.very_good_rated_pts, p.good_rated_pts, p.bad_rated_pts,
+        p.very_bad_rated_pts,
+    )
     return _first_match(
-        [(funded <= limit * F.lit(share), points) for share, points in bands],
+        [
+            (funded <= limit * F.lit(share), points)
+            for share, points in zip(LIMIT_SHARES, ratings, strict=True)
+        ],
         default=p.unacceptable_rated_pts,
     )
 
@@ -176,7 +193,7 @@ GRADE_PTS_TYPE = "decimal(12,2)"
 
 
 def grade_pts(grade: Column, sub_grade: Column, p: ScoreParams = DEFAULT_PARAMS) -> Column:
-    """Points of the grade times the share of the sub-grade.
+    """Points of the grade times the share that the sub-grade's digit keeps.
 
     A sub-grade that does not belong to its grade gives NULL; F and G need no sub-grade.
     """

@@ -249,7 +249,7 @@ def score_single_pass(raw_with_key: DataFrame, params: ScoreParams = DEFAULT_PAR
     customer, loan, repayment and delinquency rows all come from its one raw row. The points and
     the outcome of each cleaning filter are worked out per row, then one aggregation keeps the
     members with a single row. Needs ``id`` to be unique, as the raw file's key: see
-    :func:`check_unique`.
+    :func:`ledgerlark.operators.quality.check_unique`.
     """
     row = K.rename_customers(all_entities(raw_with_key))
     row = K.clean_counts(K.repair_total_payment(row), ["delinq_2yrs", *S.RECORD_COUNTS])
@@ -282,13 +282,3 @@ def score_single_pass(raw_with_key: DataFrame, params: ScoreParams = DEFAULT_PAR
         P.grade_pts(F.col("grade"), F.col("sub_grade"), params).alias("grade_pts"),
     )
     return finish_score(unique_rows(points).where("_usable").drop("_usable"), params)
-
-
-def check_unique(df: DataFrame, key: str) -> DataFrame:
-    """``df`` unchanged, but its query fails when a non-NULL ``key`` occurs more than once."""
-    repeated = (
-        df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > 1).agg(F.count(F.lit(1))).scalar()
-    )
-    fail = F.raise_error(F.lit(f"column {key} is not unique"))
-    return df.where(F.when(repeated > 0, fail.cast("boolean")).otherwise(F.lit(True)))

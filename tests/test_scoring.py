@@ -175,6 +175,6 @@ def test_stages_equal_pipeline(tables):
 
 def test_check_unique(spark):
     once = spark.createDataFrame([("a",), ("b",), (None,), (None,)], "id string")
-    assert rows(R.check_unique(once, "id")) == rows(once)
+    assert rows(Q.check_unique(once, "id")) == rows(once)
     with pytest.raises(PySparkException):
-        R.check_unique(once.union(once), "id").collect()
+        Q.check_unique(once.union(once), "id").collect()

@@ -1,0 +1,124 @@
+"""Token ids of a public word-level BPE vocabulary, fast enough for a whole corpus.
+
+The tokenizer drops white space and never joins across it, so a text's ids are those of its words, one
+after the other. Words repeat, so each task keeps the ids of the words it has met, up to a bound; words
+in plain Latin letters are split by the tokenizer's own pattern and looked up piece by piece in its
+model, all others are encoded by the tokenizer as they are.
+"""
+
+from __future__ import annotations
+
+import os
+
+import numpy as np
+
+MOST_WORDS = 400_000
+SLICE = 1 << 20
+# Characters that lower-case one by one and have no other composed form.
+_PLAIN = r"[\x21-\x7eÀ-ÖØ-öø-įĲ-ſ]+"
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return [letters[b] for b in range(256)]
+
+
+class WordEncoder:
+    """Encodes texts with the tokenizer stored at ``path``; its memory does not grow with the corpus."""
+
+    def __init__(self, path: str, most_words: int = MOST_WORDS):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.plain = regex.compile(_PLAIN)
+        self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.most_words = most_words
+        self.known: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[bytes, int] = {}
+        self.ids = np.zeros(1 << 20, dtype=np.uint32)
+        self.starts = np.zeros(self.most_words + 1, dtype=np.int64)
+        self.lengths = np.zeros(self.most_words, dtype=np.int64)
+
+    def _piece(self, piece: str) -> list[int]:
+        ids = self.known.get(piece)
+        if ids is None:
+            if len(self.known) >= self.most_words:
+                self.known.clear()
+            text = "".join([self.letters[b] for b in piece.encode()])
+            ids = self.known[piece] = [t.id for t in self.model.tokenize(text)]
+        return ids
+
+    def _word(self, word: bytes) -> list[int]:
+        text = word.decode()
+        if self.plain.fullmatch(text) and not any(a in text for a in self.added):
+            out: list[int] = []
+            for piece in self.pieces.findall(text.lower()):
+                out += self._piece(piece)
+            return out
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _add(self, word: bytes) -> int:
+        n, ids = len(self.place), self._word(word)
+        end = self.starts[n] + len(ids)
+        if end > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), np.uint32)])
+        self.ids[self.starts[n] : end] = ids
+        self.starts[n + 1], self.lengths[n] = end, len(ids)
+        self.place[word] = n
+        return n
+
+    def _slice(self, data: bytes) -> np.ndarray:
+        words = data.split()
+        if len(words) > self.most_words:
+            half = len(data) // 2
+            while half < len(data) and data[half] not in b" \t\n\r\x0b\x0c":
+                half += 1
+            return np.concatenate([self._slice(data[:half]), self._slice(data[half:])])
+        if len(self.place) + len(words) > self.most_words:
+            if len(self.place) + len(set(words).difference(self.place)) > self.most_words:
+                self._forget()
+        places = list(map(self.place.get, words))
+        if None in places:
+            for i, p in enumerate(places):
+                if p is None:
+                    known = self.place.get(words[i])
+                    places[i] = self._add(words[i]) if known is None else known
+        at = np.array(places, dtype=np.int64)
+        lengths = self.lengths[at]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.arange(total) + np.repeat(self.starts[at] - ends + lengths, lengths)]
+
+    def encode(self, data: bytes) -> np.ndarray:
+        """Ids of a UTF-8 text as 32-bit numbers."""
+        if len(data) <= SLICE:
+            return self._slice(data)
+        out, start = [], 0
+        while start < len(data):
+            end = start + SLICE
+            while end < len(data) and data[end] not in b" \t\n\r\x0b\x0c":
+                end += 1
+            out.append(self._slice(data[start:end]))
+            start = end
+        return np.concatenate(out)
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """The worker's encoder for a vocabulary file, loaded once."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]

@@ -1,18 +1,50 @@
-"""A corpus from raw documents to packed sequences, one stage after the other."""
+"""A corpus from raw documents to packed sequences, one stage after the other.
+
+All stages but the last return the columns of ``documents``. Rows that repeat an id share the decision
+about their id in the first and third stage and are decided each for itself in the others.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlark.llm import chunk_recipes, slack_packing
+from ledgerlark.llm import bbit_minhash, chunk_recipes, ppm_language, slack_packing, suffix_dedup
 from ledgerlark.llm.queries import WORD_TOKENIZER
 from ledgerlark.sources.scratch import materialize
 
 
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``kept``; a null id is an id like any other."""
+    ids = kept.select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without text or without a letter go."""
+    found = ppm_language.identify(docs)
+    return _only(docs, found.where(F.col("lang_pred") != ppm_language.UNKNOWN))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are equal but for white space, one stays."""
-    kept = chunk_recipes.exact_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    return _only(docs, chunk_recipes.exact_duplicates(docs).where("kept"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates, the document with the smallest id stays."""
+    return _only(docs, bbit_minhash.near_duplicates(docs).where("kept"))
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 100 bytes that stand earlier in the corpus go; a document without text left goes too."""
+    carry = [c for c in docs.columns if c not in ("doc_id", "text")]
+    cut = suffix_dedup.remove_repeats(docs, carry=carry, whole_characters=True)
+    text = F.col("kept").cast("string")
+    cut = cut.where((F.col("n_removed") == 0) | (F.trim(text) != "")).withColumn("text", text)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,11 +53,14 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", language_id),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("repeats", repeats),
     ("packing", packing),
 ]
 
-# The stages from language identification on have no SQL.
+# Code lengths, windows over bytes and packing have no SQL.
 ORACLE_SQL = None
 
 

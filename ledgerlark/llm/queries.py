@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlark.llm import chunk_recipes, hash_tree, slack_packing
+from ledgerlark.llm import bbit_minhash, chunk_recipes, hash_tree, ppm_language, slack_packing, suffix_dedup
 
 SHARDS = 40
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -17,10 +18,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bbit_minhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op4_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_rows(documents(spark, sf_dir), hash_tree.regular_tree(SHARDS))
 
 
+def op5_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm_language.identify(documents(spark, sf_dir))
+
+
 def op9_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.exact_duplicates(documents(spark, sf_dir))
 
@@ -44,7 +60,10 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bbit_minhash": op1_bbit_minhash,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_hash_tree": op4_hash_tree,
+    "op5_ppm_language": op5_ppm_language,
     "op9_chunk_recipes": op9_chunk_recipes,
     "op10_slack_packing": op10_slack_packing,
 }

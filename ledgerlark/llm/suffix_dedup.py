@@ -106,6 +106,8 @@ def contexts(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, anchor
 
 
 def _packed(records: np.ndarray, by: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    if not len(by):
+        return
     order = np.argsort(by, kind="stable")
     values, starts = np.unique(by[order], return_index=True)
     for value, own in zip(values.tolist(), np.split(order, starts[1:]), strict=True):

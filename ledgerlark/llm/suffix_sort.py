@@ -79,9 +79,10 @@ def rank_windows(
 ) -> np.ndarray:
     """The rank of ``data[s : s + length]`` for each start; equal windows share a rank.
 
-    Ranks follow the order of the windows' bytes; they have gaps. ``shallow`` is a multiple of eight
-    below ``length``.
+    Ranks follow the order of the windows' bytes; they have gaps. ``shallow`` is a multiple of eight;
+    windows that are no longer than it are sorted less deep.
     """
+    shallow = min(shallow, (length - 1) // 8 * 8)
     words = _words(data)
     rank = np.zeros(len(starts), dtype=np.int64)
     tied = np.arange(len(starts))

@@ -42,15 +42,26 @@ def _folded(text: str, order: int) -> bytes:
     return bytes(order) + text.lower().encode()
 
 
+def _inside(sizes: np.ndarray, order: int) -> np.ndarray:
+    """Which bytes of pieces laid end to end are text, not the ``order`` bytes of context before it."""
+    out = np.ones(sizes.sum(), dtype=bool)
+    begin = np.cumsum(sizes) - sizes
+    for back in range(order):
+        out[begin + back] = False
+    return out
+
+
 def _count(batches, order: int):
     """Counts of all runs of 1 to ``order + 1`` bytes of a batch, by language."""
     for batch in batches:
         languages, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for language in sorted(set(languages)):
             own = [t for name, t in zip(languages, texts, strict=True) if name == language]
-            data = np.frombuffer(b"".join(_folded(t, order) for t in own), dtype=np.uint8)
+            pieces = [_folded(t, order) for t in own]
+            data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+            inside = _inside(np.array([len(p) for p in pieces]), order)
             for n in range(1, order + 2):
-                grams, counts = np.unique(_grams(data, n), return_counts=True)
+                grams, counts = np.unique(_grams(data, n)[inside], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([language] * len(grams)), pa.array(np.full(len(grams), n, np.int32)),
@@ -93,10 +104,7 @@ class Model:
     def _add(self, pieces: list[bytes], owners: list[int], out: np.ndarray) -> None:
         data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
         sizes = np.array([len(p) for p in pieces])
-        wanted = np.ones(len(data), dtype=bool)
-        begin = np.cumsum(sizes) - sizes
-        for back in range(self.order):
-            wanted[begin + back] = False
+        wanted = _inside(sizes, self.order)
         owner = np.repeat(np.array(owners), sizes)[wanted]
         # Runs of equal bytes cost the same wherever they stand: look each up once.
         runs, index = np.unique(_grams(data, self.order + 1)[wanted], return_inverse=True)

@@ -8,9 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bbit_minhash, chunk_recipes, hash_tree, ppm_language, slack_packing, suffix_dedup
+from ledgerlark.llm import (
+    bbit_minhash,
+    block_max,
+    chunk_recipes,
+    hash_tree,
+    license_rules,
+    ordinal_quality,
+    ppm_language,
+    slack_packing,
+    streaming_viterbi,
+    suffix_dedup,
+)
 
 SHARDS = 40
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -29,6 +41,13 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_streaming_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and checksum of the ids, and whether decoding gives the text back."""
+    docs = documents(spark, sf_dir)
+    back = streaming_viterbi.decode(streaming_viterbi.encode(docs, PIECES), PIECES)
+    return back.select("doc_id", "n_ids", "ids_crc32", "text_sha256")
+
+
 def op4_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_rows(documents(spark, sf_dir), hash_tree.regular_tree(SHARDS))
 
@@ -37,6 +56,22 @@ def op5_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.identify(documents(spark, sf_dir))
 
 
+def op6_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.scan(documents(spark, sf_dir))
+
+
+def op7_block_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row whose id is divisible by 50 is a query against all rows."""
+    docs = documents(spark, sf_dir)
+    return block_max.top_k(docs, docs.where("doc_id % 50 = 0"))
+
+
+def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    ratings = ordinal_quality.ratings_of(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return ordinal_quality.grade(docs, ordinal_quality.fit(docs, ratings, grades=3))
+
+
 def op9_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.exact_duplicates(documents(spark, sf_dir))
 
@@ -59,13 +94,43 @@ WITH t AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
 """
 
+def _op6_sql() -> str:
+    known = ", ".join(f"('{s}', '{i}')" for s, i in license_rules.SENTENCES.items())
+    rules = ", ".join(f"('{r.license}', ' {' '.join(r.sequence)} ')" for r in license_rules.RULES)
+    return rf"""
+WITH cut AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         string_split(regexp_replace(coalesce(text, ''), '([.!?])[ \t]+', E'\\1\n', 'g'), E'\n') AS parts
+  FROM documents
+), sentence AS (
+  SELECT r, unnest(parts) AS s, generate_subscripts(parts, 1) AS i FROM cut
+), known(s, k) AS (VALUES {known}), rules(license, line) AS (VALUES {rules}), found AS (
+  SELECT r, i, k FROM (
+    SELECT r, i, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')) AS s FROM sentence
+  ) JOIN known USING (s)
+), line AS (
+  SELECT r, count(*) AS n_known, string_agg(k, ' ' ORDER BY i) AS ids FROM found GROUP BY r
+), matched AS (
+  SELECT r, string_agg(DISTINCT license, ' ' ORDER BY license) AS licenses
+  FROM line JOIN rules ON contains(' ' || ids || ' ', rules.line) GROUP BY r
+)
+SELECT doc_id, coalesce(n_known, 0) AS n_known, coalesce(ids, '') AS sentence_ids,
+       coalesce(licenses, '') AS licenses
+FROM cut LEFT JOIN line USING (r) LEFT JOIN matched USING (r)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bbit_minhash": op1_bbit_minhash,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_streaming_viterbi": op3_streaming_viterbi,
     "op4_hash_tree": op4_hash_tree,
     "op5_ppm_language": op5_ppm_language,
+    "op6_license_rules": op6_license_rules,
+    "op7_block_max": op7_block_max,
+    "op8_ordinal_quality": op8_ordinal_quality,
     "op9_chunk_recipes": op9_chunk_recipes,
     "op10_slack_packing": op10_slack_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_chunk_recipes": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_license_rules": _op6_sql(), "op9_chunk_recipes": OP9_SQL}

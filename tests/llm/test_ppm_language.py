@@ -14,9 +14,9 @@ def brute_bits(training, text, order):
     counts = {}
     for one in training:
         data = bytes(order) + one.lower().encode()
-        for i in range(len(data)):
+        for i in range(order, len(data)):
             for k in range(order + 1):
-                run = (bytes(8) + data)[8 + i - k : 8 + i + 1] if i >= k else (bytes(8) + data)[8 + i - k : 9 + i]
+                run = data[i - k : i + 1]
                 counts.setdefault(run[:-1], Counter())[run[-1]] += 1
     bits, data = 0.0, bytes(order) + text.lower().encode()
     for i in range(order, len(data)):

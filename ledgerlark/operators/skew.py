@@ -25,6 +25,10 @@ class SkewLimits:
     max_keys: int = 10_000
     min_rows: int = 1_000_000
 
+    def __post_init__(self):
+        if self.max_keys < 1 or self.min_rows < 1:
+            raise ValueError("max_keys and min_rows are at least 1")
+
 
 DEFAULT_LIMITS = SkewLimits()
 
@@ -55,13 +59,16 @@ def _row_slice(df: DataFrame, slices: Column) -> Column:
 def anti_join(
     df: DataFrame, listed: DataFrame, key: str, limits: SkewLimits = DEFAULT_LIMITS
 ) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``listed`` (a list of keys without NULL).
+    """Rows of ``df`` whose key is not in ``listed``, a NULL in which is passed over.
+
+    As with ``NOT IN``, rows with a NULL key go unless the list is empty.
 
     Whether a heavy key is listed is answered by a broadcast of the heavy keys. Rows of listed heavy
     keys leave before the shuffle; rows of the other heavy keys cannot match any more and are spread
     evenly over it.
     """
     keys = not_null_key(listed.select(key), key)
+    none_listed = keys.limit(1).agg(F.count(F.lit(1)) == 0).scalar()
     heavy = heavy_keys(df, key, limits).select(key)
     listed_heavy = keys.join(F.broadcast(heavy), key, "left_semi").distinct()
     verdict = heavy.join(F.broadcast(listed_heavy.withColumn("_listed", F.lit(True))), key, "left")
@@ -69,7 +76,8 @@ def anti_join(
 
     spread = F.concat(F.lit("\u0000"), F.xxhash64(*df.columns, F.spark_partition_id()).cast("string"))
     tagged = (
-        df.join(F.broadcast(verdict), key, "left")
+        df.where(F.col(key).isNotNull() | none_listed)
+        .join(F.broadcast(verdict), key, "left")
         .where(F.col("_listed").isNull() | ~F.col("_listed"))
         .withColumn("_probe", F.when(F.col("_listed").isNull(), F.col(key)).otherwise(spread))
     )
@@ -90,9 +98,11 @@ def drop_heavy(
     ``listed``, the only ones looked at when it is given. The light ones among them are left for the
     join that drops them.
     """
-    heavy = heavy_keys(counted, key, limits).select(key)
-    if listed is not None:
-        heavy = listed.select(key).join(F.broadcast(heavy), key, "left_semi").distinct()
+    heavy = heavy_keys(counted, key, limits)
+    if listed is None:
+        heavy = heavy.where("n > 1").select(key)
+    else:
+        heavy = listed.select(key).join(F.broadcast(heavy.select(key)), key, "left_semi").distinct()
     return df.join(F.broadcast(heavy), key, "left_anti")
 
 

@@ -101,7 +101,7 @@ def publish_tables(
 ) -> None:
     """Put written tables into the warehouse as ``<prefix><name>``.
 
-    In the session's own catalog ``loans`` becomes the partitioned and bucketed table; with ``fmt``
+    In the session's own catalog ``loans`` becomes the partitioned and clustered table; with ``fmt``
     all tables go through that connector.
     """
     for name, df in tables.items():

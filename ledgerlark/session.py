@@ -54,9 +54,14 @@ def sized(input_bytes: int, current_partitions: int) -> dict[str, str]:
 
 
 def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Apply the recommended settings, with ``input_bytes`` also those that follow from its size."""
+    """Apply the recommended settings, with ``input_bytes`` also those that follow from its size.
+
+    Settings that an earlier, larger input had raised are taken back.
+    """
     settings = dict(RECOMMENDED)
     if input_bytes is not None:
+        for name in (INITIAL_PARTITIONS, SCAN_BYTES, TARGET_BYTES):
+            spark.conf.unset(name)
         settings |= sized(input_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
     for name, value in settings.items():
         spark.conf.set(name, value)

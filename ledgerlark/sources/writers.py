@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.cleaning import month_start
-from ledgerlark.sources.scratch import materialize
 
-SINGLE_FILE_ROWS = 1_000_000
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -21,17 +19,13 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
-def write_csv_single(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> bool:
-    """Header CSV in one file, for lists whose size is checked first.
+def write_csv_single(df: DataFrame, path: str) -> None:
+    """Header CSV in one file, whatever its size: one task streams all rows to it.
 
-    The list is stored in the scratch folder first, so its size is known without working it out
-    twice. Above ``max_rows`` it is written in parallel instead: the folder then holds the same rows
-    in several files. Returns whether one file was written.
+    For lists that a reader wants as one file; :func:`write_csv` writes any list in parallel. The work
+    before the last step keeps its own partitions.
     """
-    stored = materialize(df, "list")
-    small = stored.count() <= max_rows
-    write_csv(stored.coalesce(1) if small else stored, path)
-    return small
+    write_csv(df.repartition(1), path)
 
 
 def write_table(
@@ -58,26 +52,23 @@ def add_issue_year(loans: DataFrame) -> DataFrame:
 def write_partitioned(
     loans: DataFrame,
     name: str,
-    buckets: int = 16,
     path: str | None = None,
+    years_only: bool = False,
 ) -> None:
-    """Loans as a table partitioned by issue year, bucketed by member, sorted by member and status.
+    """Loans as a table partitioned by issue year, clustered by member and status within files.
 
-    Rows are brought together per (year, bucket) first, so each such group ends up in few files. The
-    rebalance hint lets the runtime split a group that is too large (one hot member, one busy year)
-    over several tasks and merge small ones. An existing table only has the years present in
+    Rows are dealt out by ranges of year, member and loan, so a file holds few members and its minima
+    and maxima prune by member, while one hot member or busy year is split over several files. The
+    whole table is replaced; with ``years_only`` an existing table only has the years present in
     ``loans`` replaced.
     """
     spark = loans.sparkSession
-    # Same hash as the bucketing itself uses.
-    bucket = F.pmod(F.hash("member_id"), F.lit(buckets))
     rows = (
         add_issue_year(loans)
-        .withColumn("_bucket", bucket)
-        .hint("rebalance", "issue_year", "_bucket")
-        .drop("_bucket")
+        .repartitionByRange("issue_year", "member_id", "loan_id")
+        .sortWithinPartitions("issue_year", "member_id", "loan_status")
     )
-    if spark.catalog.tableExists(name):
+    if years_only and spark.catalog.tableExists(name):
         # insertInto goes by position, and the partition column is last in both. It takes the
         # overwrite mode from the session only.
         before = spark.conf.get(OVERWRITE_MODE, None)
@@ -90,12 +81,7 @@ def write_partitioned(
             else:
                 spark.conf.set(OVERWRITE_MODE, before)
         return
-    writer = (
-        rows.write.mode("errorifexists")
-        .partitionBy("issue_year")
-        .bucketBy(buckets, "member_id")
-        .sortBy("member_id", "loan_status")
-    )
+    writer = rows.write.mode("overwrite").partitionBy("issue_year")
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(name)

@@ -45,3 +45,10 @@ def test_stored_bytes(spark, tmp_path):
     (tmp_path / "b").write_bytes(b"x" * 5)
     assert stored_bytes(spark, str(tmp_path)) == 15
     assert stored_bytes(spark, str(tmp_path / "a"), str(tmp_path / "b")) == 15
+
+
+def test_settings_of_a_larger_input_do_not_stay(spark):
+    tune(spark, 100 * 10**12)
+    tune(spark, MB)
+    assert spark.conf.get(SCAN_BYTES) == "134217728b"
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None

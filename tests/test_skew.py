@@ -118,3 +118,21 @@ def test_unknown_join_type(spark):
     df = frame(spark, "x", {"a": 1})
     with pytest.raises(ValueError):
         W.sliced_star_join(df, [df], "k", "full")
+
+
+def test_limits_below_one_are_refused():
+    for limits in ((0, 1), (1, 0)):
+        with pytest.raises(ValueError):
+            W.SkewLimits(*limits)
+
+
+def test_single_rows_are_never_heavy(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("b",)], "k string")
+    assert rows(W.drop_heavy(df, df, "k", W.SkewLimits(10**9, 1))) == [("a",)]
+
+
+def test_null_keys_as_in_not_in(spark):
+    df = spark.createDataFrame([("a",), (None,)], "k string")
+    listed = spark.createDataFrame([("b",)], "k string")
+    assert rows(W.anti_join(df, listed, "k")) == [("a",)]
+    assert rows(W.anti_join(df, listed.limit(0), "k")) == [(None,), ("a",)]

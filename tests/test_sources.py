@@ -45,13 +45,11 @@ def test_raw_loans_by_header(spark, tmp_path):
     assert "ReadSchema: struct<grade:string>" in scan
 
 
-def test_single_file_only_for_small_lists(spark, tmp_path):
+def test_single_file_at_any_size(spark, tmp_path):
     df = spark.range(100).repartition(4)
-    assert writers.write_csv_single(df, str(tmp_path / "one"))
+    writers.write_csv_single(df, str(tmp_path / "one"))
     assert len(data_files(tmp_path / "one")) == 1
-    assert not writers.write_csv_single(df, str(tmp_path / "many"), max_rows=99)
-    for name in ("one", "many"):
-        assert rows(spark.read.schema("id long").csv(str(tmp_path / name), header=True)) == rows(df)
+    assert rows(spark.read.schema("id long").csv(str(tmp_path / "one"), header=True)) == rows(df)
 
 
 def test_table_replaced_and_widened(spark, tmp_path):
@@ -76,32 +74,38 @@ def test_connector_format_is_a_parameter(spark, tmp_path):
 def test_partitioned_table(spark, tables):
     name = "loans_partitioned"
     loans = tables["loans"]
-    writers.write_partitioned(loans, name, buckets=4)
+    writers.write_partitioned(loans, name)
     table = spark.table(name)
     assert rows(table.drop("issue_year")) == rows(loans)
-    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
-    assert described["Num Buckets"] == "4"
-    assert described["Bucket Columns"] == "[`member_id`]"
-    assert described["Sort Columns"] == "[`member_id`, `loan_status`]"
     plan = table.where("issue_year = 1998")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(issue_year" in plan
-    # Joining two bucketed tables on the bucket column needs no shuffle.
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = table.select("member_id").join(table.select("member_id", "loan_id"), "member_id")
-        assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    one = table.where("member_id = 'x'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(member_id,x)" in one
+
+
+def test_hot_member_is_in_several_files(spark, tables):
+    loans = tables["loans"].withColumn("member_id", F.lit("hot"))
+    writers.write_partitioned(loans, "loans_hot")
+    files = spark.table("loans_hot").select("issue_year", F.input_file_name().alias("file")).distinct()
+    assert files.groupBy("issue_year").count().agg(F.max("count")).first()[0] > 1
+
+
+def test_published_table_is_replaced(spark, tables):
+    loans = tables["loans"]
+    part = loans.limit(50)
+    writers.write_partitioned(loans, "loans_again")
+    writers.write_partitioned(part, "loans_again")
+    assert spark.table("loans_again").count() == 50
 
 
 def test_partitioned_table_replaces_only_given_years(spark, tables):
     name = "loans_by_year"
     loans = tables["loans"]
-    writers.write_partitioned(loans, name, buckets=2)
+    writers.write_partitioned(loans, name)
     one_year = writers.add_issue_year(loans).where("issue_year = 1998").drop("issue_year")
     assert one_year.count() > 1
     changed = one_year.withColumn("loan_title", F.lit("changed"))
-    writers.write_partitioned(changed, name, buckets=2)
+    writers.write_partitioned(changed, name, years_only=True)
     table = spark.table(name)
     assert table.count() == loans.count()
     assert table.where("loan_title = 'changed'").count() == one_year.count()

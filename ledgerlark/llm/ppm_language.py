@@ -6,8 +6,8 @@ seen there costs an escape, ``-log2(d / (t + d))``, and is looked up in the next
 the empty context all 256 bytes are alike. The language with the shortest code for the whole text wins.
 
 The model is fitted on a bounded sample: per language the ``sample`` texts of at most ``longest`` bytes
-that come first by a hash. Its counts are summed by Spark; what is collected and sent to the tasks is
-bounded by the sample. After that the statistics are frozen, and every text is scored as a whole.
+that come first by a hash. A task counts one language's sample; what is collected and sent to the tasks
+is bounded by the sample. After that the statistics are frozen, and every text is scored as a whole.
 """
 
 from __future__ import annotations
@@ -51,24 +51,24 @@ def _inside(sizes: np.ndarray, order: int) -> np.ndarray:
     return out
 
 
-def _count(batches, order: int):
-    """Counts of all runs of 1 to ``order + 1`` bytes of a batch, by language."""
-    for batch in batches:
-        languages, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for language in sorted(set(languages)):
-            own = [t for name, t in zip(languages, texts, strict=True) if name == language]
-            pieces = [_folded(t, order) for t in own]
-            data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-            inside = _inside(np.array([len(p) for p in pieces]), order)
-            for n in range(1, order + 2):
-                grams, counts = np.unique(_grams(data, n)[inside], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([language] * len(grams)), pa.array(np.full(len(grams), n, np.int32)),
-                        pa.array(grams.view(np.int64)), pa.array(counts),
-                    ],
-                    names=["language", "n", "gram", "c"],
-                )
+def _count(texts: pa.Table, order: int) -> pa.Table:
+    """Counts of all runs of 1 to ``order + 1`` bytes of one language's sample."""
+    language = texts.column("language")[0].as_py()
+    pieces = [_folded(t, order) for t in texts.column("text").to_pylist()]
+    data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+    inside = _inside(np.array([len(p) for p in pieces]), order)
+    parts = []
+    for n in range(1, order + 2):
+        grams, counts = np.unique(_grams(data, n)[inside], return_counts=True)
+        parts.append(
+            pa.table({
+                "language": pa.array([language] * len(grams), pa.string()),
+                "n": pa.array(np.full(len(grams), n, np.int32)),
+                "gram": pa.array(grams.view(np.int64)),
+                "c": pa.array(counts),
+            })
+        )
+    return pa.concat_tables(parts)
 
 
 @dataclass(frozen=True)
@@ -188,9 +188,11 @@ def fit(
         .dropDuplicates(["language", "h"])
         .select("language", "text")
     )
-    counted = texts.mapInArrow(lambda it: _count(it, order), "language string, n int, gram long, c long")
-    summed = counted.groupBy("language", "n", "gram").agg(F.sum("c").alias("c"))
-    return model_of([tuple(r) for r in summed.collect()], order)
+    # A group is one language's sample: at most ``sample * longest`` bytes, whatever the corpus' size.
+    counted = texts.groupBy("language").applyInArrow(
+        lambda t: _count(t, order), "language string, n int, gram long, c long"
+    )
+    return model_of([tuple(r) for r in counted.collect()], order)
 
 
 def _predicted(batches, model: Model | None):

@@ -5,18 +5,21 @@
    before the shuffle into one representative, the smallest id.
 2. Every band bucket has a pivot, its smallest id. A representative is confirmed on full sets against
    the pivot with the best estimate only; this joins groups of copies of any size by one pair each.
-3. Pairs of one bucket that are still in different components are then estimated, and those that may
-   reach the threshold are confirmed as well. So no link between components is left out, and inside a
+3. Pairs of one bucket that are still in different components are then estimated. Those that may reach
+   the threshold, also by the bound that a bitmap of each set gives, are confirmed as well. So no link between components is left out, and inside a
    component no pairs are made.
 
-The estimate counts equal packed bits with shifts and ``bit_count`` and takes off the share of minima
+The estimate counts minima whose low bits agree, by ``bit_count`` over planes, and takes off the share
 that agree in their low bits by chance. It is a filter with a margin of five standard deviations;
-the full sets decide. A pair at the threshold shares no band with a probability of 5e-6.
+the full sets decide. A pair at the threshold shares no band with a probability of 5e-6. The bitmap has
+a bit for each hash value of the set's members: a bit of one set that the other lacks is a member that the
+other lacks, so the bound never refuses a pair that reaches the threshold.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,7 @@ BANDS = 32
 ROWS = 4
 BITS = 4
 PERCENT = 75
+MAP_LONGS = 16
 NO_ID = -(1 << 63)
 
 
@@ -45,16 +49,11 @@ def least_matches(minima: int, bits: int, percent: int, deviations: float = 5.0)
 
 
 def matches(a: list[Column], b: list[Column], minima: int, bits: int) -> Column:
-    """How many packed minima agree."""
-    ones = sum(1 << i for i in range(0, 64, bits))
-    ones = ones - (1 << 64) if ones >> 63 else ones
-    differ = F.lit(0)
-    for x, y in zip(a, b, strict=True):
-        d, step = x.bitwiseXOR(y), 1
-        while step < bits:
-            d = d.bitwiseOR(F.shiftrightunsigned(d, step))
-            step *= 2
-        differ = differ + F.bit_count(d.bitwiseAND(F.lit(ones)))
+    """How many minima agree, in all ``bits`` planes of low bits."""
+    per = len(a) // bits
+    xors = [x.bitwiseXOR(y) for x, y in zip(a, b, strict=True)]
+    words = (reduce(Column.bitwiseOR, xors[i::per]) for i in range(per))
+    differ = sum((F.bit_count(w) for w in words), F.lit(0))
     return F.lit(minima) - differ
 
 
@@ -64,10 +63,34 @@ def similarity(agreeing: Column, minima: int, bits: int) -> Column:
     return F.greatest(F.lit(0.0), (agreeing / F.lit(minima) - F.lit(chance)) / F.lit(1 - chance))
 
 
+def spare(n: Column, longs: list[Column]) -> Column:
+    """Members of a set beyond the bits of its bitmap."""
+    return n - sum((F.bit_count(x) for x in longs), F.lit(0))
+
+
+def may_reach(
+    a: list[Column], b: list[Column], n_a: Column, n_b: Column, spare_a: Column, spare_b: Column, percent: int
+) -> Column:
+    """Whether sets of these bitmaps and sizes can be that similar; exact where it says no.
+
+    Each bit that one set lacks is a member of the other that is not shared.
+    """
+    common = F.least(spare_a, spare_b) + sum(
+        (F.bit_count(x.bitwiseAND(y)) for x, y in zip(a, b, strict=True)), F.lit(0)
+    )
+    return common * (100 + percent) >= (n_a + n_b) * percent
+
+
+def bitmap(hashes: np.ndarray, longs: int = MAP_LONGS) -> np.ndarray:
+    marks = np.zeros(longs * 64, dtype=bool)
+    marks[(hashes >> np.uint64(32)) % np.uint64(longs * 64)] = True
+    return np.packbits(marks).view(np.int64)
+
+
 def _signed(batches, signer: Signer, size: int):
     longs = pa.list_(pa.int64())
     for batch in batches:
-        ids, ns, marks, bands, packed = [], [], [], [], []
+        ids, ns, marks, bands, packed, maps = [], [], [], [], [], []
         for key, text in zip(batch.column(0), batch.column(1), strict=True):
             hashes = shingle_set(bytes(text.as_buffer()) if text.is_valid else b"", size)
             ids.append(key.as_py())
@@ -77,16 +100,18 @@ def _signed(batches, signer: Signer, size: int):
                 marks.append(digest(hashes))
                 bands.append(signer.bands_of(minima).view(np.int64))
                 packed.append(signer.packed(minima).view(np.int64))
+                maps.append(bitmap(hashes))
             else:
                 marks.append(None)
                 bands.append(None)
                 packed.append(None)
+                maps.append(None)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(marks, pa.binary()),
-                pa.array(bands, longs), pa.array(packed, longs),
+                pa.array(bands, longs), pa.array(packed, longs), pa.array(maps, longs),
             ],
-            names=["id", "n", "mark", "bands", "packed"],
+            names=["id", "n", "mark", "bands", "packed", "map"],
         )
 
 
@@ -143,7 +168,7 @@ def near_duplicates(
     )
     signed = texts.mapInArrow(
         lambda it: _signed(it, signer, size),
-        "id long, n long, mark binary, bands array<bigint>, packed array<bigint>",
+        "id long, n long, mark binary, bands array<bigint>, packed array<bigint>, map array<bigint>",
     )
     signed = materialize(signed, "signatures")
     reps = signed.where("n > 0").groupBy("mark").agg(F.min("id").alias("rep"))
@@ -154,7 +179,7 @@ def near_duplicates(
     heads = signed.join(
         reps.select("mark", F.col("rep").alias("id")), ["mark", "id"], "left_semi"
     ).dropDuplicates(["mark", "id"])
-    words = minima * bits // 64 + (1 if minima * bits % 64 else 0)
+    words = -(-minima // 64) * bits
     entries = heads.select(
         "id", F.posexplode("bands").alias("band", "h"), *(F.col("packed")[i].alias(f"s{i}") for i in range(words))
     )
@@ -186,13 +211,23 @@ def near_duplicates(
     placed = entries.join(root, "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed = placed.groupBy("band", "h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     mixed = mixed.where("lo < hi").select("band", "h")
-    apart = materialize(placed.join(mixed, ["band", "h"], "left_semi").drop("pivot"), "mixed_buckets")
-    left = apart.select("band", "h", *(F.col(n).alias(f"l_{n}") for n in ("id", "root", *names)))
+    # An id of several texts gets the bitmap of each beside every entry, the right one among them.
+    maps_of = [f"m{i}" for i in range(MAP_LONGS)]
+    maps = signed.where("n > 0").select("id", "n", *(F.col("map")[i].alias(m) for i, m in enumerate(maps_of)))
+    apart = placed.join(mixed, ["band", "h"], "left_semi").drop("pivot")
+    apart = materialize(apart, "mixed_buckets")
+    maps = maps.join(apart.select("id").distinct(), "id", "left_semi").distinct()
+    apart = apart.join(maps, "id").withColumn("spare", spare(F.col("n"), [F.col(m) for m in maps_of]))
+    apart = materialize(apart, "mapped_buckets")
+    left = apart.select("band", "h", *(F.col(n).alias(f"l_{n}") for n in ("id", "root", "n", "spare", *names, *maps_of)))
     agreeing = matches([F.col(n) for n in names], [F.col(f"l_{n}") for n in names], minima, bits)
+    possible = may_reach(
+        [F.col(n) for n in maps_of], [F.col(f"l_{n}") for n in maps_of], F.col("n"), F.col("l_n"),
+        F.col("spare"), F.col("l_spare"), percent,
+    )
     late = (
         left.join(apart, ["band", "h"])
-        .where("l_root < root")
-        .where(agreeing >= fewest)
+        .where((F.col("l_root") < F.col("root")) & (agreeing >= fewest) & possible)
         .select(F.greatest("id", "l_id").alias("u"), F.least("id", "l_id").alias("v"))
         .distinct()
     )

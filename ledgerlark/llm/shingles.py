@@ -70,9 +70,9 @@ class Signer:
         return mix((minima.reshape(self.bands, self.rows) * self.salts).sum(axis=1) ^ self.names)
 
     def packed(self, minima: np.ndarray) -> np.ndarray:
-        """The minima's low bits, ``64 / bits`` of them to a number."""
-        low = mix(minima.copy()) & np.uint64((1 << self.bits) - 1)
-        per = 64 // self.bits
-        low = np.pad(low, (0, -len(low) % per)).reshape(-1, per)
-        shift = np.arange(per, dtype=np.uint64) * np.uint64(self.bits)
-        return np.bitwise_or.reduce(low << shift, axis=1)
+        """The minima's low bits in planes: bit ``i`` of all minima, 64 to a number, then bit ``i + 1``."""
+        low = mix(minima.copy())
+        low = np.pad(low, (0, -len(low) % 64)).reshape(-1, 64)
+        shift = np.arange(64, dtype=np.uint64)
+        planes = [(low >> np.uint64(i) & np.uint64(1)) << shift for i in range(self.bits)]
+        return np.concatenate([np.bitwise_or.reduce(plane, axis=1) for plane in planes])

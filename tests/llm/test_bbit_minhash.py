@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ledgerlark.llm import bbit_minhash
 from ledgerlark.llm.components import components
@@ -85,3 +86,24 @@ def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 99)], "u long, v long")
     got = {tuple(r) for r in components(edges).collect()}
     assert got == {(i, 0) for i in range(1, 51)} | {(100, 99)}
+
+
+def test_bitmaps_refuse_no_similar_pair(spark):
+    rng = np.random.default_rng(5)
+    rows, real = [], []
+    for size in (1, 3, 40, 200, 5000):
+        for share in (0.0, 0.5, 0.7, 0.74, 0.76, 0.8, 0.95, 1.0):
+            a = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+            b = np.concatenate([a[: round(size * share)], rng.integers(0, 1 << 63, round(size * (1 - share)), dtype=np.uint64)])
+            a, b = np.unique(a), np.unique(b)
+            both = len(np.intersect1d(a, b))
+            real.append(100 * both >= 75 * (len(a) + len(b) - both))
+            rows.append((len(real) - 1, len(a), len(b), bbit_minhash.bitmap(a).tolist(), bbit_minhash.bitmap(b).tolist()))
+    df = spark.createDataFrame(rows, "i long, n long, m long, a array<bigint>, b array<bigint>")
+    longs = range(bbit_minhash.MAP_LONGS)
+    a, b = ([F.col(c)[i] for i in longs] for c in "ab")
+    spares = [bbit_minhash.spare(F.col("n"), a), bbit_minhash.spare(F.col("m"), b)]
+    possible = bbit_minhash.may_reach(a, b, F.col("n"), F.col("m"), *spares, 75)
+    said = {r.i: r.p for r in df.select("i", possible.alias("p")).collect()}
+    assert all(said[i] for i, r in enumerate(real) if r)
+    assert sum(said[i] for i, r in enumerate(real) if not r) < sum(not r for r in real)

@@ -6,8 +6,8 @@
 2. Every band bucket has a pivot, its smallest id. A representative is confirmed on full sets against
    the pivot with the best estimate only; this joins groups of copies of any size by one pair each.
 3. Pairs of one bucket that are still in different components are then estimated. Those that may reach
-   the threshold, also by the bound that a bitmap of each set gives, are confirmed as well. So no link between components is left out, and inside a
-   component no pairs are made.
+   the threshold, also by the bound that a bitmap of each set gives, are confirmed as well. So no link
+   between components is left out, and inside a component no pairs are made.
 
 The estimate counts minima whose low bits agree, by ``bit_count`` over planes, and takes off the share
 that agree in their low bits by chance. It is a filter with a margin of five standard deviations;

@@ -1,7 +1,7 @@
 """A corpus from raw documents to packed sequences, one stage after the other.
 
 All stages but the last return the columns of ``documents``. Rows that repeat an id share the decision
-about their id in the first and third stage and are decided each for itself in the others.
+about their id in the first stage and are decided each for itself in the others.
 """
 
 from __future__ import annotations
@@ -20,6 +20,16 @@ def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number per row, written, so that every reading sees the same numbers."""
+    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
+def _rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose number is in ``kept``."""
+    return docs.join(kept, "_row", "left_semi").drop("_row")
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without text or without a letter go."""
     found = ppm_language.identify(docs)
@@ -27,13 +37,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are equal but for white space, one stays."""
-    return _only(docs, chunk_recipes.exact_duplicates(docs).where("kept"))
+    """Of documents that are equal but for white space, one row stays."""
+    docs = _numbered(docs)
+    return _rows(docs, chunk_recipes.kept_rows(docs, "_row")).select(docs.columns[:-1])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest id stays."""
-    return _only(docs, bbit_minhash.near_duplicates(docs).where("kept"))
+    """Of each group of near duplicates, one row stays, of the smallest id."""
+    docs = _numbered(docs)
+    return _rows(docs, bbit_minhash.kept_rows(docs, "_row")).select(docs.columns[:-1])
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

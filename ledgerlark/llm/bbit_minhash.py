@@ -246,3 +246,18 @@ def near_duplicates(
         real(component).alias("component_id"),
         (component == F.col("id")).alias("kept"),
     )
+
+
+def kept_rows(
+    docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "text", **options: int
+) -> DataFrame:
+    """The ``row_col`` of the one row that stays of each component, when every row is a document.
+
+    The smallest id stays, a missing one before all others, then the smallest ``row_col``, a long that no
+    two rows share. ``options`` are those of ``near_duplicates``.
+    """
+    placed = near_duplicates(docs, row_col, text_col, **options).select(row_col, "component_id")
+    ids = docs.select(row_col, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"))
+    # Merged before the shuffle, so a large component is no large group.
+    best = F.min(F.struct("id", F.col(row_col).alias("row"))).alias("best")
+    return placed.join(ids, row_col).groupBy("component_id").agg(best).select(F.col("best.row").alias(row_col))

@@ -77,26 +77,17 @@ def _with_recipes(
     )
 
 
-def exact_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    min_chars: int = MIN_CHARS,
-    max_chars: int = MAX_CHARS,
-    hashed=F.xxhash64,
+def _grouped(
+    docs: DataFrame, id_col: str, text_col: str, min_chars: int, max_chars: int, hashed, *more: str
 ) -> DataFrame:
-    """One row per row of ``docs``: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
-
-    Of equal texts the one with the most code points before normalisation stays, then the smallest id.
-    A null text counts as empty; empty texts are equal to each other. Rows that repeat an id are all
-    listed; they are kept when their id is the kept one. A null id sorts after all others and is its
-    own ``keep_id`` only in a group without any id. Other columns of ``docs`` are not looked at.
-    """
+    """Each row of ``docs`` as ``id``, ``points``, ``sha`` and ``more``, with its group's ``group_size``
+    and ``keep_id``."""
     id_, text = F.col(id_col), F.col(text_col)
     texts = docs.select(
         id_.cast("long").alias("id"),
         F.coalesce(F.length(text), F.lit(0)).alias("points"),
         normalised(text).alias("norm"),
+        *more,
     ).withColumn("sha", F.sha2(F.col("norm").cast("binary"), 256))
     rows = _with_recipes(texts, min_chars, max_chars, hashed)
     # Most code points first, then the smallest id, as one number of fixed width: it can be
@@ -117,10 +108,49 @@ def exact_duplicates(
             ).alias("keep_id"),
         )
     )
-    return rows.join(groups, "recipe").select(
+    return rows.join(groups, "recipe")
+
+
+def exact_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_chars: int = MIN_CHARS,
+    max_chars: int = MAX_CHARS,
+    hashed=F.xxhash64,
+) -> DataFrame:
+    """One row per row of ``docs``: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
+
+    Of equal texts the one with the most code points before normalisation stays, then the smallest id.
+    A null text counts as empty; empty texts are equal to each other. Rows that repeat an id are all
+    listed; they are kept when their id is the kept one. A null id sorts after all others and is its
+    own ``keep_id`` only in a group without any id. Other columns of ``docs`` are not looked at.
+    """
+    return _grouped(docs, id_col, text_col, min_chars, max_chars, hashed).select(
         F.col("id").alias(id_col),
         "keep_id",
         "group_size",
         F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
+
+
+def kept_rows(
+    docs: DataFrame,
+    row_col: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_chars: int = MIN_CHARS,
+    max_chars: int = MAX_CHARS,
+    hashed=F.xxhash64,
+) -> DataFrame:
+    """The ``row_col`` of the one row that stays of each group of equal texts.
+
+    As in ``exact_duplicates``, and of rows that repeat the kept id the one with the most code points
+    and then the smallest ``row_col``, a long that no two rows share.
+    """
+    rows = _grouped(docs, id_col, text_col, min_chars, max_chars, hashed, row_col)
+    # Often one row a group; the rows of a repeated id are merged before the shuffle.
+    best = F.min(F.struct((-F.col("points")).alias("less"), F.col(row_col).alias("row"))).alias("best")
+    rows = rows.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("recipe").agg(best)
+    return rows.select(F.col("best.row").alias(row_col))

@@ -120,6 +120,15 @@ def _rows(names: Sequence[str], types: Sequence[pa.DataType], rows: list[tuple])
     return pa.RecordBatch.from_arrays(arrays, names=list(names))
 
 
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """Where a row of sorted columns differs from the row before it."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = False
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return new
+
+
 def _send_contexts(batches, buckets: int, window: int, anchor: int):
     """Per batch and bucket: documents, contexts that are the first of their kind in the batch, and
     places of those that are not."""
@@ -127,6 +136,8 @@ def _send_contexts(batches, buckets: int, window: int, anchor: int):
         key = batch.column("k").to_numpy()
         row = batch.column("r").to_numpy()
         order = np.lexsort((row, key))
+        # A row that repeats id and text is the same document: its windows are no later copies.
+        order = order[_heads(key[order], row[order])]
         docs = np.zeros(len(order), DOC)
         docs["k"], docs["r"], docs["dg"] = key[order], row[order], batch.column("dg").to_numpy()[order]
         data, offsets = flat(batch.column("text").take(pa.array(order)))
@@ -195,6 +206,9 @@ def _decide(table: pa.Table) -> pa.Table:
     doc = docs[at[own]]
     order = np.lexsort((lo[own], doc["r"], doc["k"], g[own], h[own]))
     own, doc = own[order], doc[order]
+    # A context of a repeated row comes once per batch that has the row: it is one and the same.
+    once = _heads(h[own], g[own], doc["k"], doc["r"], lo[own])
+    own, doc = own[once], doc[once]
     new_h = np.ones(len(own), dtype=bool)
     new_h[1:] = h[own[1:]] != h[own[:-1]]
     new = new_h.copy()
@@ -339,7 +353,8 @@ def remove_repeats(
     smaller id, or earlier in the same one. Strings do not cross documents and are judged on the texts
     as given. With ``whole_characters`` a character that is covered in part stays, so that what is
     kept is UTF-8. A null text counts as empty. Of rows that share an id the texts are ordered by
-    their hash, and rows equal in both get the same result; a null id comes first.
+    their hash, and a null id comes first. Rows equal in both are one document: none of them is an
+    earlier copy of another, and they get the same result.
     """
     if not 8 <= anchor < window:
         raise ValueError("the anchor has at least 8 bytes and is shorter than the window")

@@ -67,3 +67,19 @@ def test_ranks_follow_the_bytes():
     for a, b in zip(order, order[1:], strict=False):
         assert (rank[a] == rank[b]) == (whole[a : a + 100] == whole[b : b + 100])
         assert rank[a] <= rank[b]
+
+
+def test_repeated_rows_are_one_document(make):
+    """Rows of one id and text, with and without an id, in one batch and in several."""
+    rng = random.Random(9)
+    text = lambda: " ".join(f"{rng.randrange(10**6)}" for _ in range(40))
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(1, a + b), (2, c + a), (None, d), (3, b + d)]
+    want = brute([(-(1 << 63) if i is None else i, t) for i, t in rows], 100)
+    for parts in (1, 6):
+        docs = make([*rows, *rows, (2, c + a), (None, d)]).repartition(parts)
+        got = remove_repeats(docs).collect()
+        assert len(got) == 10
+        for r in got:
+            key = -(1 << 63) if r.doc_id is None else r.doc_id
+            assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[key]

@@ -37,10 +37,13 @@ ANCHOR = 32
 SEGMENT = 1 << 20
 GROUP_BYTES = 8 << 20
 
-DOC = np.dtype([("k", "<i8"), ("r", "<i4"), ("dg", "<i4")])
-SPAN = np.dtype([("k", "<i8"), ("r", "<i4"), ("lo", "<i4"), ("n", "<u2")])
-ASK = np.dtype([("k", "<i8"), ("r", "<i4"), ("lo", "<i4"), ("n", "<u2"), ("h", "<u8")])
-SENT = np.dtype([("h", "<u8"), ("k", "<i8"), ("r", "<i4"), ("dg", "<i4"), ("lo", "<i4"), ("n", "<u2")])
+# A document is its id and 128 bits of its text's digest; the digest also orders the texts of one id.
+KEY = [("k", "<i8"), ("r", "<u8"), ("q", "<u8")]
+NAMES = [name for name, _ in KEY]
+DOC = np.dtype([*KEY, ("dg", "<i4")])
+SPAN = np.dtype([*KEY, ("lo", "<i4"), ("n", "<u2")])
+ASK = np.dtype([*KEY, ("lo", "<i4"), ("n", "<u2"), ("h", "<u8")])
+SENT = np.dtype([("h", "<u8"), *KEY, ("dg", "<i4"), ("lo", "<i4"), ("n", "<u2")])
 DECIDED = "dg int, kind int, data binary"
 COVERED, ASKED = 0, 1
 
@@ -120,6 +123,12 @@ def _rows(names: Sequence[str], types: Sequence[pa.DataType], rows: list[tuple])
     return pa.RecordBatch.from_arrays(arrays, names=list(names))
 
 
+def _digests(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Both halves of each digest of a column."""
+    both = flat(column)[0].view(">u8").astype("<u8").reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
 def _heads(*columns: np.ndarray) -> np.ndarray:
     """Where a row of sorted columns differs from the row before it."""
     new = np.ones(len(columns[0]), dtype=bool)
@@ -134,12 +143,13 @@ def _send_contexts(batches, buckets: int, window: int, anchor: int):
     places of those that are not."""
     for batch in batches:
         key = batch.column("k").to_numpy()
-        row = batch.column("r").to_numpy()
-        order = np.lexsort((row, key))
+        row = _digests(batch.column("r"))
+        order = np.lexsort((row[1], row[0], key))
         # A row that repeats id and text is the same document: its windows are no later copies.
-        order = order[_heads(key[order], row[order])]
+        order = order[_heads(key[order], row[0][order], row[1][order])]
         docs = np.zeros(len(order), DOC)
-        docs["k"], docs["r"], docs["dg"] = key[order], row[order], batch.column("dg").to_numpy()[order]
+        docs["k"], docs["r"], docs["q"] = key[order], row[0][order], row[1][order]
+        docs["dg"] = batch.column("dg").to_numpy()[order]
         data, offsets = flat(batch.column("text").take(pa.array(order)))
         doc, lo, n, h, g = contexts(data, offsets, window, anchor)
         # Documents stand in their order, so the first of equals is the earliest.
@@ -154,7 +164,8 @@ def _send_contexts(batches, buckets: int, window: int, anchor: int):
             late = again[own]
             span = np.zeros(int(late.sum()), SPAN)
             gone = own[late]
-            span["k"], span["r"] = docs["k"][doc[gone]], docs["r"][doc[gone]]
+            for name in NAMES:
+                span[name] = docs[name][doc[gone]]
             span["lo"], span["n"] = lo[gone], n[gone]
             own = own[~late]
             used, index = np.unique(doc[own], return_inverse=True)
@@ -204,10 +215,10 @@ def _decide(table: pa.Table) -> pa.Table:
     repeated[order[1:][same]] = repeated[order[:-1][same]] = True
     own = np.flatnonzero(repeated)
     doc = docs[at[own]]
-    order = np.lexsort((lo[own], doc["r"], doc["k"], g[own], h[own]))
+    order = np.lexsort((lo[own], doc["q"], doc["r"], doc["k"], g[own], h[own]))
     own, doc = own[order], doc[order]
     # A context of a repeated row comes once per batch that has the row: it is one and the same.
-    once = _heads(h[own], g[own], doc["k"], doc["r"], lo[own])
+    once = _heads(h[own], g[own], *(doc[n] for n in NAMES), lo[own])
     own, doc = own[once], doc[once]
     new_h = np.ones(len(own), dtype=bool)
     new_h[1:] = h[own[1:]] != h[own[:-1]]
@@ -217,7 +228,8 @@ def _decide(table: pa.Table) -> pa.Table:
     several = (kinds > 1)[np.cumsum(new_h) - 1] if len(own) else new
     for kind, dtype, mask in ((COVERED, SPAN, ~new), (ASKED, ASK, new & several)):
         made = np.zeros(int(mask.sum()), dtype)
-        made["k"], made["r"] = doc["k"][mask], doc["r"][mask]
+        for name in NAMES:
+            made[name] = doc[name][mask]
         made["lo"], made["n"] = lo[own[mask]], n[own[mask]]
         if kind == ASKED:
             made["h"] = h[own[mask]]
@@ -228,15 +240,17 @@ def _decide(table: pa.Table) -> pa.Table:
 
 def _by_document(texts: pa.Table, records: np.ndarray):
     """For each row of ``texts`` that has any: its number and its records, in order of ``lo``."""
-    records = records[np.lexsort((records["lo"], records["r"], records["k"]))]
-    key = np.stack([records["k"], records["r"].astype(np.int64)])
-    first = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0))[: len(records)])
+    if not len(records):
+        return
+    records = records[np.lexsort((records["lo"], records["q"], records["r"], records["k"]))]
+    first = np.flatnonzero(_heads(*(records[n] for n in NAMES)))
     last = np.append(first[1:], len(records))
     places = {
-        (int(records["k"][a]), int(records["r"][a])): (int(a), int(b))
+        tuple(int(records[n][a]) for n in NAMES): (int(a), int(b))
         for a, b in zip(first, last, strict=True)
     }
-    keys = zip(texts.column("k").to_pylist(), texts.column("r").to_pylist(), strict=True)
+    r, q = _digests(texts.column("r"))
+    keys = zip(texts.column("k").to_pylist(), r.tolist(), q.tolist(), strict=True)
     for i, key in enumerate(keys):
         if key in places:
             a, b = places[key]
@@ -252,11 +266,11 @@ def _send_bytes(texts: pa.Table, asked: pa.Table, buckets: int, window: int) ->
         dg = texts.column("dg")[0].as_py()
         sent, starts, seen = [], [], set()
         for i, own in _by_document(texts, _column(asked, "data", ASK)):
-            if (mark := (int(own["k"][0]), int(own["r"][0]))) in seen:
+            if (mark := tuple(int(own[n][0]) for n in NAMES)) in seen:
                 continue  # a repeated row
             seen.add(mark)
             one = np.zeros(len(own), SENT)
-            for name in ("h", "k", "r", "lo", "n"):
+            for name in ("h", *NAMES, "lo", "n"):
                 one[name] = own[name]
             one["dg"] = dg
             sent.append(one)
@@ -281,8 +295,11 @@ def _sort_bucket(table: pa.Table, window: int) -> pa.Table:
     context = np.repeat(np.arange(len(sent)), n)
     nth = np.arange(len(context)) - np.repeat(np.cumsum(n) - n, n)
     rank = rank_windows(data, begin[context] + nth, window)
-    doc = sent[context]
-    order = np.lexsort((doc["lo"] + nth, doc["r"], doc["k"], rank))
+    # Documents as numbers in their order: a window then has one number for its document.
+    order = np.lexsort((sent["q"], sent["r"], sent["k"]))
+    number = np.zeros(len(sent), np.int64)
+    number[order] = np.cumsum(_heads(*(sent[name][order] for name in NAMES)))
+    order = np.lexsort((sent["lo"][context] + nth, number[context], rank))
     later = np.zeros(len(order), dtype=bool)
     later[order[1:]] = rank[order[1:]] == rank[order[:-1]]
     # Neighbouring windows of a context make one span.
@@ -292,10 +309,12 @@ def _sort_bucket(table: pa.Table, window: int) -> pa.Table:
     first = np.flatnonzero(new)
     spans = np.zeros(len(first), SPAN)
     head = at[first]
-    spans["k"], spans["r"] = doc["k"][head], doc["r"][head]
-    spans["lo"] = doc["lo"][head] + nth[head]
+    doc = sent[context[head]]
+    for name in NAMES:
+        spans[name] = doc[name]
+    spans["lo"] = doc["lo"] + nth[head]
     spans["n"] = np.diff(np.append(first, len(at)))
-    rows = [(dg, COVERED, x.tobytes()) for dg, x in _packed(spans, doc["dg"][head])]
+    rows = [(dg, COVERED, x.tobytes()) for dg, x in _packed(spans, doc["dg"])]
     batch = _rows(["dg", "kind", "data"], [pa.int32(), pa.int32(), pa.binary()], rows)
     return pa.Table.from_batches([batch])
 
@@ -364,7 +383,7 @@ def remove_repeats(
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     keyed = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("k"),
-        F.hash(text_col).alias("r"),
+        F.unhex(F.substring(F.sha2(text, 256), 1, 32)).alias("r"),
         text.alias("text"),
         *(F.col(c).alias(f"c{i}") for i, c in enumerate(carried)),
     ).withColumn("dg", F.pmod(F.xxhash64("k", "r"), F.lit(parts)).cast("int"))

@@ -83,3 +83,30 @@ def test_repeated_rows_are_one_document(make):
         for r in got:
             key = -(1 << 63) if r.doc_id is None else r.doc_id
             assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[key]
+
+
+def test_texts_of_one_id_with_equal_short_hashes(make, spark):
+    """Two texts without an id whose 32-bit hashes are equal are two documents."""
+    rows = colliding_texts(spark)
+    docs = make([(None, rows[0]), (None, rows[1]), (1, rows[0]), (2, rows[1])])
+    got = remove_repeats(docs).collect()
+    alone = {len(t): brute([(0, t)], 100)[0] for t in rows}
+    assert alone[len(rows[0])][1] > 200 and alone[len(rows[1])][1] == 0
+    for r in got:
+        want = alone[r.n_bytes] if r.doc_id is None else (r.n_bytes, r.n_bytes, 1, b"")
+        assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want
+    assert len(got) == 4
+
+
+def colliding_texts(spark):
+    """A text that repeats itself and a shorter one with equal ``hash``, found by trying numbers at the end."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(12)
+    heads = [" ".join(f"{rng.randrange(10**6)}" for _ in range(k)) for k in (40, 20)]
+    heads[0] += " " + heads[0]
+    texts = spark.range(200_000).withColumn("text", F.concat(F.lit(heads[0] + " "), F.col("id").cast("string")))
+    other = spark.range(200_000).withColumn("text", F.concat(F.lit(heads[1] + " "), F.col("id").cast("string")))
+    a = texts.select(F.hash("text").alias("h"), F.col("text").alias("a"))
+    b = other.select(F.hash("text").alias("h"), F.col("text").alias("b"))
+    return tuple(a.join(b, "h").select("a", "b").orderBy("a", "b").first())

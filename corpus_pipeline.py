@@ -1,7 +1,7 @@
 """A corpus from raw documents to packed sequences, one stage after the other.
 
-All stages but the last return the columns of ``documents``. Rows that repeat an id share the decision
-about their id in the first stage and are decided each for itself in the others.
+All stages but the last return the columns of ``documents``. Rows are decided each for itself, also those
+that repeat an id.
 """
 
 from __future__ import annotations
@@ -14,12 +14,6 @@ from ledgerlark.llm.queries import WORD_TOKENIZER
 from ledgerlark.sources.scratch import materialize
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is in ``kept``; a null id is an id like any other."""
-    ids = kept.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-
-
 def _numbered(docs: DataFrame) -> DataFrame:
     """``docs`` with a number per row, written, so that every reading sees the same numbers."""
     return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
@@ -31,9 +25,8 @@ def _rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without text or without a letter go."""
-    found = ppm_language.identify(docs)
-    return _only(docs, found.where(F.col("lang_pred") != ppm_language.UNKNOWN))
+    """Documents without text or without a letter go, and only these, also when there is no model."""
+    return ppm_language.with_letters(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

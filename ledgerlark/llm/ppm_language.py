@@ -5,20 +5,22 @@ in a context with ``t`` occurrences of ``d`` different bytes costs ``-log2(c / (
 seen there costs an escape, ``-log2(d / (t + d))``, and is looked up in the next shorter context; below
 the empty context all 256 bytes are alike. The language with the shortest code for the whole text wins.
 
-The model is fitted on a bounded sample: per language the ``sample`` texts of at most ``longest`` bytes
-that come first by a hash. A task counts one language's sample; what is collected and sent to the tasks
+The model is fitted on a bounded sample: per language the ``sample`` texts that come first by a hash, of
+a longer text a piece of at most ``longest`` bytes. A task counts one language's sample; what is collected and sent to the tasks
 is bounded by the sample. After that the statistics are frozen, and every text is scored as a whole.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 ORDER = 4
@@ -51,10 +53,21 @@ def _inside(sizes: np.ndarray, order: int) -> np.ndarray:
     return out
 
 
+def _piece(text: Column, longest: int) -> Column:
+    """A text of at most ``longest`` bytes whole, of a longer one as many from a place given by its hash.
+
+    A character of which only a part lies in the piece is left out.
+    """
+    data = text.cast("binary")
+    places = F.greatest(F.octet_length(text) - F.lit(longest), F.lit(0)) + 1
+    start = F.pmod(F.xxhash64(text), places).cast("int") + 1
+    return F.when(F.octet_length(text) <= longest, data).otherwise(F.substring(data, start, F.lit(longest)))
+
+
 def _count(texts: pa.Table, order: int) -> pa.Table:
     """Counts of all runs of 1 to ``order + 1`` bytes of one language's sample."""
     language = texts.column("language")[0].as_py()
-    pieces = [_folded(t, order) for t in texts.column("text").to_pylist()]
+    pieces = [_folded(t.decode(errors="ignore"), order) for t in texts.column("piece").to_pylist()]
     data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
     inside = _inside(np.array([len(p) for p in pieces]), order)
     parts = []
@@ -170,12 +183,12 @@ def fit(
 ) -> Model | None:
     """The model of the rows of ``docs`` that have a text and a language; None when none has.
 
-    Per language at most ``sample`` texts of at most ``longest`` bytes are learned from.
+    Per language at most ``sample`` texts are learned from, and of each at most ``longest`` bytes.
     """
     if not 1 <= order <= 7:
         raise ValueError("order is 1 to 7")
     text, lang = F.col(text_col), F.col(lang_col)
-    rows = docs.where(text.isNotNull() & lang.isNotNull() & (F.octet_length(text) <= longest))
+    rows = docs.where(text.isNotNull() & lang.isNotNull())
     # The texts stay behind until the sample is known: a window keeps the first hashes per language.
     hashed = rows.select(lang.alias("language"), F.xxhash64(text).alias("h")).distinct()
     part = F.row_number().over(W.partitionBy("language", F.pmod("h", F.lit(64))).orderBy("h"))
@@ -183,10 +196,10 @@ def fit(
     first = F.row_number().over(W.partitionBy("language").orderBy("h"))
     some = some.withColumn("nth", first).where(F.col("nth") <= sample).select("language", "h")
     texts = (
-        rows.select(lang.alias("language"), F.xxhash64(text).alias("h"), text.alias("text"))
+        rows.select(lang.alias("language"), F.xxhash64(text).alias("h"), _piece(text, longest).alias("piece"))
         .join(F.broadcast(some), ["language", "h"], "left_semi")
         .dropDuplicates(["language", "h"])
-        .select("language", "text")
+        .select("language", "piece")
     )
     # A group is one language's sample: at most ``sample * longest`` bytes, whatever the corpus' size.
     counted = texts.groupBy("language").applyInArrow(
@@ -195,11 +208,12 @@ def fit(
     return model_of([tuple(r) for r in counted.collect()], order)
 
 
-def _predicted(batches, model: Model | None):
+def _predicted(batches, model: Model | None, carry: Sequence[str]):
     for batch in batches:
         texts = [t or "" for t in batch.column("text").to_pylist()]
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        lettered = [i for i, t in enumerate(texts) if model is not None and LETTER.search(t)]
+        letter = [LETTER.search(t) is not None for t in texts]
+        lettered = [i for i, has in enumerate(letter) if has and model is not None]
         if lettered:
             bits = model.text_bits([texts[i] for i in lettered])
             best = bits.argmin(axis=1)
@@ -208,11 +222,19 @@ def _predicted(batches, model: Model | None):
             for i, b, s in zip(lettered, best, share, strict=True):
                 names[i], scores[i] = model.languages[b], float(s)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("held"), pa.array(names), pa.array(scores)],
-            names=["id", "held", "lang", "score"],
+            [*(batch.column(c) for c in carry), pa.array(names), pa.array(scores), pa.array(letter, pa.bool_())],
+            names=[*carry, "_lang", "_score", "_letter"],
         )
 
 
+def _labelled(rows: DataFrame, carry: Sequence[str], model: Model | None) -> DataFrame:
+    """The ``carry`` columns of ``rows``, which has a ``text``, with ``_lang``, ``_score`` and ``_letter``."""
+    fields = [rows.schema[c] for c in carry]
+    fields += [T.StructField("_lang", T.StringType()), T.StructField("_score", T.DoubleType())]
+    fields.append(T.StructField("_letter", T.BooleanType()))
+    return rows.mapInArrow(lambda it: _predicted(it, model, carry), T.StructType(fields))
+
+
 def held_out(id_col: str = "doc_id"):
     """Rows kept out of learning: a fourth, by a checksum of the id; rows without an id are in it."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(True))
@@ -233,9 +255,17 @@ def identify(
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), held_out(id_col).alias("held"), F.col(text_col).alias("text")
     )
-    out = rows.mapInArrow(
-        lambda it: _predicted(it, model), "id long, held boolean, lang string, score double"
-    )
+    out = _labelled(rows, ["id", "held"], model)
     return out.select(
-        F.col("id").alias(id_col), F.col("held").alias("held_out"), F.col("lang").alias("lang_pred"), "score"
+        F.col("id").alias(id_col), F.col("held").alias("held_out"), F.col("_lang").alias("lang_pred"),
+        F.col("_score").alias("score"),
     )
+
+
+def with_letters(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs``, with all columns, that ``identify`` gives a language when there is a model.
+
+    These are the rows whose ``text`` has a letter. Each row is decided for itself, also without a model.
+    """
+    model = fit(docs.where(~held_out(id_col)), "text", lang_col)
+    return _labelled(docs, docs.columns, model).where("_letter").select(docs.columns)

@@ -43,3 +43,11 @@ def test_rows_of_one_id_are_decided_each_for_itself(make, spark):
     want = sorted([(1, a), (2, b)])
     assert sorted((r.doc_id, r.text) for r in close.collect()) == want
     assert sorted((r.doc_id, r.text) for r in last.collect()) == want
+
+
+def test_without_labels_only_texts_without_letters_go(spark):
+    rows = [(1, "some words", None), (None, "other words", None), (None, "12 34", None), (3, None, None), (1, " ", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language_id(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r.text for r in kept.collect()) == ["other words", "some words"]

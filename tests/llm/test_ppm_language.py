@@ -84,3 +84,24 @@ def test_awkward_rows(awkward, make):
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(0, "text", None)], "doc_id long, text string, lang string")
     assert ppm_language.identify(docs).first().lang_pred == "und"
+
+
+def test_a_language_of_long_texts_only_is_learned(spark):
+    rng = random.Random(8)
+    rows = [
+        (i, " ".join(rng.choices(WORDS[lang], k=9000 if lang == "de" else 30)), lang)
+        for i, lang in enumerate(sorted(WORDS) * 12)
+    ]
+    assert all(len(t.encode()) > ppm_language.LONGEST for _, t, lang in rows if lang == "de")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    truth = {i: lang for i, _, lang in rows}
+    out = ppm_language.identify(docs).collect()
+    assert [r.doc_id for r in out if r.lang_pred != truth[r.doc_id]] == []
+
+
+def test_pieces_are_bounded_and_whole_characters(spark):
+    texts = ["über " * 3, "é" * 40, "x" * 25 + "日本" * 9]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [bytes(r[0]) for r in docs.select(ppm_language._piece(docs.text, 25)).collect()]
+    assert got[0] == texts[0].encode() and all(len(p) == 25 for p in got[1:])
+    assert all(p.decode(errors="ignore") in t for p, t in zip(got, texts, strict=True))

@@ -15,7 +15,8 @@ windows of one document with the same anchor is a *context*.
    are covered.
 4. Documents meet what is covered in them, again by document group: the same shuffle of the texts.
 
-Buckets and groups are numbered in proportion to the corpus' bytes, so a task's memory does not grow.
+Buckets and groups are numbered in proportion to the corpus' bytes, so a task's memory does not grow, but
+for the contexts of one anchor that stands in a large share of the documents and rows equal in id and text.
 """
 
 from __future__ import annotations

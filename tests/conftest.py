@@ -6,8 +6,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -32,11 +30,6 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def tables(spark):
     from checks.registry import tables as build
+    from small_tables import SMALL
 
     return build(spark, SMALL)
-
-
-def rows(df, *columns):
-    """Rows as a sorted list of tuples, NULL first."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda r: [(v is not None, v) for v in r])

@@ -2,7 +2,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from small_tables import rows
 from ledgerlark import schema as S
 from ledgerlark.functions import cleaning as C
 from ledgerlark.operators import clean as K

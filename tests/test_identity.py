@@ -1,6 +1,6 @@
 import hashlib
 
-from conftest import SMALL, rows
+from small_tables import SMALL, rows
 from checks.registry import raw_loans
 from ledgerlark import schema as S
 from ledgerlark.operators import identity as I

@@ -3,7 +3,7 @@ import pytest
 from checks.compare import difference, duck
 from checks.oracle import FINAL, oracle_sql
 from checks.registry import QUERIES
-from conftest import SMALL
+from small_tables import SMALL
 
 FLAGSHIP = "/root/testdata/sf0.01"
 

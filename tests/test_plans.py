@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.registry import QUERIES, on_keyed  # noqa: F401
-from conftest import SMALL, rows
+from small_tables import SMALL, rows
 from ledgerlark.operators import clean as K
 from ledgerlark.operators import identity as I
 from ledgerlark.operators import quality as Q

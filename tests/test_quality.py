@@ -1,4 +1,4 @@
-from conftest import rows
+from small_tables import rows
 from ledgerlark.operators import quality as Q
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from checks.registry import ALTERNATIVE_PARAMS, raw_loans
-from conftest import SMALL, rows
+from small_tables import SMALL, rows
 from ledgerlark.functions.points import DEFAULT_PARAMS, ScoreParams
 from ledgerlark.operators import identity as I
 from ledgerlark.operators import quality as Q

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import rows
+from small_tables import rows
 from ledgerlark.operators import skew as W
 from ledgerlark.operators.skew import SkewLimits
 

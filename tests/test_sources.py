@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.registry import raw_loans
-from conftest import SMALL, rows
+from small_tables import SMALL, rows
 from ledgerlark import schema as S
 from ledgerlark.plans.pipeline import CLEAN_TABLES, export_csv, run_pipeline
 from ledgerlark.operators.quality import profile_nulls

@@ -14,12 +14,14 @@ from ledgerlark.llm import (
     chunk_recipes,
     hash_tree,
     license_rules,
+    merkle_manifest,
     ordinal_quality,
     ppm_language,
     slack_packing,
     streaming_viterbi,
     suffix_dedup,
 )
+from ledgerlark.llm.merkle_sql import merkle_sql
 
 SHARDS = 40
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -80,6 +82,17 @@ def op10_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slack_packing.pack(documents(spark, sf_dir), WORD_TOKENIZER)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's proof; of a third of the ids the text is lower-cased after the manifest is made."""
+    hit = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 0
+    lowered = F.when(hit, merkle_manifest.lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    proofs = merkle_manifest.manifest(documents(spark, sf_dir), tampered={"text": lowered})
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root",
+        merkle_manifest.proof_digest(F.col("steps")).alias("proof_sha256"), "folded_root", "verified",
+    )
+
+
 OP9_SQL = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -131,6 +144,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ordinal_quality": op8_ordinal_quality,
     "op9_chunk_recipes": op9_chunk_recipes,
     "op10_slack_packing": op10_slack_packing,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_license_rules": _op6_sql(), "op9_chunk_recipes": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op6_license_rules": _op6_sql(),
+    "op9_chunk_recipes": OP9_SQL,
+    "op13_merkle_manifest": merkle_sql(),
+}

@@ -12,6 +12,7 @@ from ledgerlark.llm import (
     bbit_minhash,
     block_max,
     chunk_recipes,
+    hard_negatives,
     hash_tree,
     license_rules,
     merkle_manifest,
@@ -82,6 +83,15 @@ def op10_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slack_packing.pack(documents(spark, sf_dir), WORD_TOKENIZER)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows whose id is divisible by 100; every seventh row's label is moved on by one."""
+    vec_id, given = F.col("vec_id"), F.col("label").cast("long")
+    moved = F.when(vec_id % 7 == 0, (given + 1) % 10).otherwise(given)
+    return hard_negatives.hard_negatives(
+        spark.read.parquet(f"{sf_dir}/embeddings.parquet"), anchor=vec_id % 100 == 0, label=moved
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row's proof; of a third of the ids the text is lower-cased after the manifest is made."""
     hit = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 0
@@ -107,6 +117,30 @@ WITH t AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
 """
 
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS alike,
+         CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+), n AS (
+  SELECT anchor_id, positive_id, positive_score, other AS negative_id, score AS negative_score,
+         CAST(row_number() OVER (
+           PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
 def _op6_sql() -> str:
     known = ", ".join(f"('{s}', '{i}')" for s, i in license_rules.SENTENCES.items())
     rules = ", ".join(f"('{r.license}', ' {' '.join(r.sequence)} ')" for r in license_rules.RULES)
@@ -144,11 +178,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ordinal_quality": op8_ordinal_quality,
     "op9_chunk_recipes": op9_chunk_recipes,
     "op10_slack_packing": op10_slack_packing,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_license_rules": _op6_sql(),
     "op9_chunk_recipes": OP9_SQL,
+    "op11_hard_negatives": OP11_SQL,
     "op13_merkle_manifest": merkle_sql(),
 }

@@ -18,6 +18,7 @@ from ledgerlark.llm import (
     merkle_manifest,
     ordinal_quality,
     ppm_language,
+    prefix_bpe,
     slack_packing,
     streaming_viterbi,
     suffix_dedup,
@@ -92,6 +93,17 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text's ids and of the text they decode to."""
+    coded = prefix_bpe.encode(documents(spark, sf_dir), WORD_TOKENIZER)
+    return coded.select(
+        "doc_id",
+        F.floor(F.length("ids") / F.lit(4)).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row's proof; of a third of the ids the text is lower-cased after the manifest is made."""
     hit = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 0
@@ -179,6 +191,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chunk_recipes": op9_chunk_recipes,
     "op10_slack_packing": op10_slack_packing,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_prefix_bpe": op12_prefix_bpe,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 

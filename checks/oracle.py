@@ -107,6 +107,12 @@ TABLES = {
     "t_customers_new": "SELECT * FROM t_customers WHERE member_id NOT IN (SELECT member_id FROM t_bad)",
     "t_delinq_new": "SELECT * FROM t_delinq WHERE member_id NOT IN (SELECT member_id FROM t_bad)",
     "t_detail_new": "SELECT * FROM t_detail WHERE member_id NOT IN (SELECT member_id FROM t_bad)",
+    "t_member_counts": """SELECT member_id, count(*) FILTER (WHERE kind = 1) AS customers,
+        count(*) FILTER (WHERE kind = 2) AS loans, count(*) FILTER (WHERE kind = 3) AS delinq,
+        count(*) FILTER (WHERE kind = 4) AS detail
+        FROM (SELECT member_id, 1 AS kind FROM t_customers UNION ALL SELECT member_id, 2 FROM t_loans
+            UNION ALL SELECT member_id, 3 FROM t_delinq UNION ALL SELECT member_id, 4 FROM t_detail)
+        GROUP BY member_id""",
     # wide table, in the original join order
     "t_unified": f"""SELECT l.loan_id, {_cols(S.UNIFIED_CUSTOMER, "c.")}, {_cols(S.UNIFIED_LOAN, "l.")},
         {_cols(S.UNIFIED_REPAYMENT, "r.")}, {_cols(S.UNIFIED_DELINQUENCY, "d.")},
@@ -395,8 +401,14 @@ FINAL = {
     "distinct_values": "SELECT DISTINCT address_state FROM t_customers",
     "value_counts": _counts("loan_purpose", "t_l_kept"),
     "key_multiplicity": _counts("member_id", "t_customers"),
+    "key_multiplicity_delinq": _counts("member_id", "t_delinq"),
+    "key_multiplicity_detail": _counts("member_id", "t_detail"),
+    "key_multiplicity_customers_new": _counts("member_id", "t_customers_new"),
+    "member_counts": "SELECT * FROM t_member_counts",
     "members_repeated": "SELECT name_sha2, count(*) AS total_cnt FROM t_keyed GROUP BY 1 HAVING count(*) > 1",
     "duplicate_keys": "SELECT member_id FROM t_bad_customers",
+    "duplicate_keys_delinq": "SELECT member_id FROM t_bad_delinq",
+    "duplicate_keys_detail": "SELECT member_id FROM t_bad_detail",
     "avg_emp_length": "SELECT avg_emp_length FROM t_c_mean",
     "sort_counts": _counts("delinq_2yrs", "t_e_defaulters") + " ORDER BY total DESC, delinq_2yrs",
     "top_k_members": _counts("member_id", "t_detail") + " ORDER BY total DESC, member_id LIMIT 20",
@@ -437,6 +449,7 @@ FINAL = {
     "loan_score": "SELECT * FROM t_scored",
     "loan_final_grade": "SELECT * FROM t_score",
     "score_pipeline": "SELECT * FROM t_score",
+    "score_with_bad_list": "SELECT * FROM t_score",
     "score_single_pass": "SELECT * FROM t_score",
     # marts
     "mart_status_share": _share("loan_status", "t_loans"),
@@ -460,6 +473,9 @@ FINAL = {
         AS mean_score FROM t_score GROUP BY loan_final_grade""",
     # quality composites
     "bad_members": "SELECT member_id FROM t_bad",
+    "bad_members_from_counts": "SELECT member_id FROM t_bad",
+    "customers_new_from_counts": "SELECT * FROM t_customers_new",
+    "detail_new_from_counts": "SELECT * FROM t_detail_new",
     "customers_new": "SELECT * FROM t_customers_new",
     "delinq_new": "SELECT * FROM t_delinq_new",
     "detail_new": "SELECT * FROM t_detail_new",

@@ -20,6 +20,7 @@ from ledgerlark.functions import points as P
 from ledgerlark.functions.points import ScoreParams
 from ledgerlark.operators import clean as K
 from ledgerlark.operators import identity as I
+from ledgerlark.operators import member_counts as N
 from ledgerlark.operators import quality as Q
 from ledgerlark.operators import scoring as R
 from ledgerlark.plans import marts as M
@@ -36,6 +37,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _TABLES: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _NEW: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _SCORES: dict[tuple[str, str], DataFrame] = {}
+_COUNTS: dict[tuple[str, str], str] = {}
 
 
 def _session_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -80,6 +82,22 @@ def without_bad(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return _NEW[key]
 
 
+def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored rows per member, after two raw files were added one after the other.
+
+    The second file has every loan of an odd id and, again, those divisible by 20.
+    """
+    key = _session_key(spark, sf_dir)
+    if key not in _COUNTS:
+        prefix, folder = f"counts_{uuid.uuid4().hex}_", scratch_path(spark, "counts")
+        raw = keyed(spark, sf_dir)
+        even, repeated = F.expr("cast(id as bigint) % 2 = 0"), F.expr("cast(id as bigint) % 20 = 0")
+        for file, part in (("first.csv", even & ~repeated), ("second.csv", ~even | repeated)):
+            N.add_file(spark, raw.where(part), file, prefix, folder)
+        _COUNTS[key] = prefix
+    return spark.table(f"{_COUNTS[key]}{N.COUNTS}")
+
+
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The written score table, which the score marts read."""
     key = _session_key(spark, sf_dir)
@@ -136,6 +154,10 @@ def on_good(step: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
     return lambda spark, sf_dir: _plain(step(without_bad(spark, sf_dir)))
 
 
+def on_counts(step: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: _plain(step(counts(spark, sf_dir)))
+
+
 def on_scores(step: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: _plain(step(scores(spark, sf_dir)))
 
@@ -295,6 +317,23 @@ def score_single_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(R.score_single_pass(I.member_identity(raw)))
 
 
+def score_with_bad_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unstripped tables, the stored bad list and the stored counts, as a later job finds them."""
+    bad = without_bad(spark, sf_dir)["bad"]
+    return _plain(R.score_pipeline(tables(spark, sf_dir), bad, counts=counts(spark, sf_dir)))
+
+
+def new_from_counts(name: str) -> Query:
+    """A table less the repeated members, by the list that the stored counts give."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stored, t = counts(spark, sf_dir), tables(spark, sf_dir)
+        bad = N.bad_members_of(stored)
+        return _plain(Q.anti_join_bad(t[name], bad, counts=N.rows_per_member(stored, name)))
+
+    return query
+
+
 def pts_credit_limit(t: dict[str, DataFrame]) -> DataFrame:
     points = P.credit_limit_pts(F.col("funded_amount"), F.col("total_high_credit_limit"))
     joined = Q.anti_join_bad(t["loans"], t["bad"]).join(t["customers"], "member_id")
@@ -382,8 +421,14 @@ QUERIES: dict[str, Query] = {
     "distinct_values": on_tables(lambda t: Q.distinct_values(t["customers"], "address_state")),
     "value_counts": on_kept_loans(lambda df: Q.value_counts(df, "loan_purpose")),
     "key_multiplicity": on_tables(lambda t: Q.key_multiplicity(t["customers"])),
+    "key_multiplicity_delinq": on_counts(lambda c: N.multiplicity_of(c, "delinq")),
+    "key_multiplicity_detail": on_counts(lambda c: N.multiplicity_of(c, "detail")),
+    "key_multiplicity_customers_new": on_good(lambda t: Q.key_multiplicity(t["customers"])),
     "members_repeated": on_keyed(lambda df: Q.members_repeated(df, "name_sha2")),
     "duplicate_keys": on_tables(lambda t: Q.duplicate_keys(t["customers"])),
+    "duplicate_keys_delinq": on_counts(lambda c: N.repeated_in(c, "delinq")),
+    "duplicate_keys_detail": on_counts(lambda c: N.repeated_in(c, "detail")),
+    "member_counts": on_counts(lambda c: c),
     "avg_emp_length": on_customers(
         lambda df: K.avg_emp_length(K.clean_emp_length(K.distinct_customers(df)))
     ),
@@ -443,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "loan_score": on_good(lambda t: R.loan_score(R.score_components(financial_health(t)))),
     "loan_final_grade": on_good(lambda t: R.finish_score(financial_health(t))),
     "score_pipeline": on_tables(R.score_pipeline),
+    "score_with_bad_list": score_with_bad_list,
     "score_single_pass": score_single_pass,
     # 2.8 dashboard
     "mart_status_share": on_tables(lambda t: M.mart_status_share(t["loans"])),
@@ -467,6 +513,9 @@ QUERIES: dict[str, Query] = {
     "customers_new": on_members(lambda t: Q.without_repeated("customers", t)),
     "delinq_new": on_members(lambda t: Q.without_repeated("delinq", t)),
     "detail_new": on_members(lambda t: Q.without_repeated("detail", t)),
+    "bad_members_from_counts": on_counts(N.bad_members_of),
+    "customers_new_from_counts": new_from_counts("customers"),
+    "detail_new_from_counts": new_from_counts("detail"),
     "verify_dedup": on_members(lambda t: Q.verify_dedup(Q.without_repeated("customers", t))),
     "unified_table": on_tables(U.unified_table),
     "unified_table_loan_grain": on_tables(lambda t: U.unified_table(t, grain="loan")),

@@ -130,10 +130,14 @@ def bad_members(tables: Mapping[str, DataFrame], key: str = MEMBER) -> DataFrame
 
 
 def anti_join_bad(
-    df: DataFrame, bad: DataFrame, key: str = MEMBER, limits: SkewLimits = DEFAULT_LIMITS
+    df: DataFrame,
+    bad: DataFrame,
+    key: str = MEMBER,
+    limits: SkewLimits = DEFAULT_LIMITS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Remove the members of a bad list, of any size, from any table."""
-    return anti_join(df, bad, key, limits)
+    """Remove the members of a bad list, of any size, from any table; see :func:`skew.anti_join`."""
+    return anti_join(df, bad, key, limits, counts)
 
 
 def unique_rows(df: DataFrame, key: str = MEMBER) -> DataFrame:
@@ -153,12 +157,18 @@ def unique_rows(df: DataFrame, key: str = MEMBER) -> DataFrame:
 def without_repeated(name: str, tables: Mapping[str, DataFrame], key: str = MEMBER) -> DataFrame:
     """``tables[name]`` less the members that are repeated in any of ``tables``.
 
-    Equal to removing :func:`bad_members` from it, without building that list: members repeated in
-    the table itself go in :func:`unique_rows`, and at one row per member the anti join with the
-    other tables' repeated members has no hot key.
+    Equal to removing :func:`bad_members` from it by ``NOT IN``, without building that list: members
+    repeated in the table itself go in :func:`unique_rows`, and at one row per member the anti join with
+    the repeated members has no hot key. A row without a member goes unless no member is repeated, and a
+    repeated NULL leaves no row. Where counts are stored, an anti join with their list reads less, see
+    :mod:`ledgerlark.operators.member_counts`.
     """
-    others = {n: df for n, df in tables.items() if n != name}
-    return unique_rows(tables[name], key).join(bad_members(others, key), key, "left_anti")
+    bad = bad_members(tables, key)
+    listed = bad.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls"))
+    none_bad, null_bad = listed.select(F.col("n") == 0).scalar(), listed.select(F.col("nulls") > 0).scalar()
+    once = unique_rows(tables[name], key)
+    kept = once.where(none_bad | (F.col(key).isNotNull() & ~null_bad))
+    return kept.join(bad, key, "left_anti")
 
 
 def verify_dedup(df: DataFrame, key: str = MEMBER) -> DataFrame:

@@ -13,7 +13,7 @@ from ledgerlark.functions.points import DEFAULT_PARAMS, ScoreParams
 from ledgerlark.operators import clean as K
 from ledgerlark.operators.identity import all_entities
 from ledgerlark.operators.quality import anti_join_bad, unique_rows
-from ledgerlark.operators.skew import DEFAULT_LIMITS, SkewLimits, drop_heavy
+from ledgerlark.operators.skew import DEFAULT_LIMITS, SkewLimits, drop_heavy, key_counts, sliced_star_join
 from ledgerlark.sources.readers import widen
 
 PAYMENT_PTS = ("last_payment_pts", "total_payment_pts")
@@ -199,10 +199,12 @@ def score_points(
     bad: DataFrame | None = None,
     params: ScoreParams = DEFAULT_PARAMS,
     limits: SkewLimits = DEFAULT_LIMITS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """All points of each loan, from ``customers, loans, repayments, delinq, detail``.
 
-    With a ``bad`` list its members are removed. Without one, the members repeated in customers,
+    With a ``bad`` list its members are removed; ``counts`` are known rows per member and table, see
+    :mod:`ledgerlark.operators.member_counts`, without which heavy members are counted. Without a list, the members repeated in customers,
     delinq or detail are: every scored member then has exactly one row in each of the three, so
     reducing each to its unique rows (one aggregation over fixed-width points, partitioned by member
     for all joins after it) gives the same members without a list, and no member join can fan out
@@ -212,9 +214,7 @@ def score_points(
         tables[n] for n in ("customers", "loans", "repayments", "delinq", "detail")
     )
     if bad is not None:
-        payment = score_payment_history(loans, repayments, bad, params, limits)
-        history = score_defaulter_history(detail, delinq, payment, bad, params, limits)
-        return score_financial_health(history, loans, customers, bad, params, limits)
+        return _points_with_list(tables, bad, params, limits, counts)
 
     detail_pts = unique_rows(record_points(detail, params))
     delinq_pts = unique_rows(delinquency_points(delinq, params))
@@ -231,14 +231,64 @@ def score_points(
     return _health(history, loan_points(kept, params), customer_pts, params)
 
 
+def _points_with_list(
+    tables: Mapping[str, DataFrame],
+    bad: DataFrame,
+    params: ScoreParams,
+    limits: SkewLimits,
+    counts: DataFrame | None,
+) -> DataFrame:
+    """Points without the members of ``bad``, any of whom may hold a large share of any table.
+
+    Every member join is an inner one with the records, so the list is removed as a whole from these only;
+    from the other tables only its heavy members are. What is left joins on the member alone: a heavy member
+    that is not listed is dealt out over slices.
+    """
+    sides = ("detail", "delinq", "loans", "customers")
+    known = {
+        n: key_counts(tables[n], "member_id") if counts is None
+        else counts.where(F.col(n) > 0).select("member_id", F.col(n).alias("n"))
+        for n in sides
+    }
+
+    def less_heavy(name: str, df: DataFrame) -> DataFrame:
+        return drop_heavy(df, tables[name], "member_id", limits, bad, known[name])
+
+    loans = less_heavy("loans", tables["loans"])
+    payment = score_payment_history(loans, tables["repayments"], None, params, limits)
+    delinq_pts = less_heavy("delinq", delinquency_points(tables["delinq"], params))
+    parts = {
+        "detail": anti_join_bad(record_points(tables["detail"], params), bad, "member_id", limits, known["detail"]),
+        "delinq": delinq_pts,
+        "loans": loan_points(loans, params),
+        "customers": less_heavy("customers", customer_points(tables["customers"], params)),
+    }
+    if params.score_undelinquent:
+        # The only outer join: records that have no delinquency row keep the best points.
+        both = sliced_star_join(
+            parts["detail"], [parts.pop("delinq")], "member_id", "left", limits,
+            counts=[known["detail"], known["delinq"]], base_keys=tables["detail"],
+        )
+        parts["detail"] = both.fillna(params.excellent_rated_pts, subset=["delinq_pts"])
+    joined = sliced_star_join(
+        payment, list(parts.values()), "member_id", "inner", limits,
+        counts=[known["loans"], *(known[n] for n in parts)], base_keys=loans,
+    )
+    credit = P.credit_limit_pts(F.col("funded_amount"), F.col("total_high_credit_limit"), params)
+    return joined.withColumn("credit_limit_pts", credit).select(
+        "member_id", *PAYMENT_PTS, *DEFAULTER_PTS, *HEALTH_PTS
+    )
+
+
 def score_pipeline(
     tables: Mapping[str, DataFrame],
     bad: DataFrame | None = None,
     params: ScoreParams = DEFAULT_PARAMS,
     limits: SkewLimits = DEFAULT_LIMITS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Loan scores and final grades from the five clean tables, see :func:`score_points`."""
-    return finish_score(score_points(tables, bad, params, limits), params)
+    return finish_score(score_points(tables, bad, params, limits, counts), params)
 
 
 def score_single_pass(raw_with_key: DataFrame, params: ScoreParams = DEFAULT_PARAMS) -> DataFrame:

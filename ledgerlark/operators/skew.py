@@ -38,9 +38,11 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def heavy_keys(df: DataFrame, key: str, limits: SkewLimits = DEFAULT_LIMITS) -> DataFrame:
-    """Fewer than ``max_keys`` rows ``(key, n, slices)``; a slice is at most one threshold of rows."""
-    counts = key_counts(df, key)
+def heavy_of(counts: DataFrame, key: str, limits: SkewLimits = DEFAULT_LIMITS) -> DataFrame:
+    """Fewer than ``max_keys`` rows ``(key, n, slices)`` of counts ``(key, n)``.
+
+    A slice is at most one threshold of rows.
+    """
     total = counts.agg(F.sum("n")).scalar()
     threshold = F.greatest(total / F.lit(limits.max_keys), F.lit(float(limits.min_rows)))
     return counts.where(F.col("n") > threshold).select(
@@ -48,6 +50,11 @@ def heavy_keys(df: DataFrame, key: str, limits: SkewLimits = DEFAULT_LIMITS) ->
     )
 
 
+def heavy_keys(df: DataFrame, key: str, limits: SkewLimits = DEFAULT_LIMITS) -> DataFrame:
+    """The keys with a large share of the rows of ``df``, see :func:`heavy_of`."""
+    return heavy_of(key_counts(df, key), key, limits)
+
+
 def _row_slice(df: DataFrame, slices: Column) -> Column:
     """A slice number for each row that a repeated task gives again.
 
@@ -57,11 +64,16 @@ def _row_slice(df: DataFrame, slices: Column) -> Column:
 
 
 def anti_join(
-    df: DataFrame, listed: DataFrame, key: str, limits: SkewLimits = DEFAULT_LIMITS
+    df: DataFrame,
+    listed: DataFrame,
+    key: str,
+    limits: SkewLimits = DEFAULT_LIMITS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``listed``, a NULL in which is passed over.
+    """Rows of ``df`` whose key is not in ``listed``, where a NULL fails the query.
 
-    As with ``NOT IN``, rows with a NULL key go unless the list is empty.
+    As with ``NOT IN``, rows with a NULL key go unless the list is empty. ``listed`` is read up to three
+    times: give a stored list. ``counts`` are known ``(key, n)`` of ``df``; without them keys are counted.
 
     Whether a heavy key is listed is answered by a broadcast of the heavy keys. Rows of listed heavy
     keys leave before the shuffle; rows of the other heavy keys cannot match any more and are spread
@@ -69,7 +81,7 @@ def anti_join(
     """
     keys = not_null_key(listed.select(key), key)
     none_listed = keys.limit(1).agg(F.count(F.lit(1)) == 0).scalar()
-    heavy = heavy_keys(df, key, limits).select(key)
+    heavy = heavy_of(key_counts(df, key) if counts is None else counts, key, limits).select(key)
     listed_heavy = keys.join(F.broadcast(heavy), key, "left_semi").distinct()
     verdict = heavy.join(F.broadcast(listed_heavy.withColumn("_listed", F.lit(True))), key, "left")
     verdict = verdict.select(key, F.coalesce("_listed", F.lit(False)).alias("_listed"))
@@ -91,14 +103,15 @@ def drop_heavy(
     key: str,
     limits: SkewLimits = DEFAULT_LIMITS,
     listed: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Leave out the rows whose key is heavy in ``counted``, by a broadcast of those few keys.
 
     For keys that cannot reach the result, because they are repeated in ``counted`` or are in
     ``listed``, the only ones looked at when it is given. The light ones among them are left for the
-    join that drops them.
+    join that drops them. ``counts`` are known ``(key, n)`` of ``counted``.
     """
-    heavy = heavy_keys(counted, key, limits)
+    heavy = heavy_of(key_counts(counted, key) if counts is None else counts, key, limits)
     if listed is None:
         heavy = heavy.where("n > 1").select(key)
     else:
@@ -114,12 +127,14 @@ def sliced_star_join(
     limits: SkewLimits = DEFAULT_LIMITS,
     counted: Sequence[DataFrame | None] | None = None,
     base_keys: DataFrame | None = None,
+    counts: Sequence[DataFrame | None] | None = None,
 ) -> DataFrame:
     """``base`` joined with each of ``sides`` on ``key`` (``left`` or ``inner``), without a hot task.
 
     ``counted`` may name, for ``base`` and each side, a cheaper frame that has the same keys in about
     the same numbers, or None for a table with one row per key; ``base_keys`` one with the base's
-    keys. Heavy keys are searched there, so that a join in ``base`` is not worked out twice.
+    keys. Heavy keys are searched there, so that a join in ``base`` is not worked out twice. ``counts`` gives
+    known ``(key, n)`` of these frames instead.
 
     Sides hold distinct column names besides the key. Every table that has a heavy key deals that
     key's rows out over slices of its own dimension and repeats them over the slices of the other
@@ -137,10 +152,12 @@ def sliced_star_join(
     dims = range(len(tables))
 
     found = None
-    for i, table in enumerate(tables if counted is None else counted):
-        if table is None:
+    frames = tables if counted is None else counted
+    known = counts or [None if frame is None else key_counts(frame, key) for frame in frames]
+    for i, one_count in enumerate(known):
+        if one_count is None:
             continue
-        one = heavy_keys(table, key, limits).select(key, F.lit(i).alias("_dim"), "slices")
+        one = heavy_of(one_count, key, limits).select(key, F.lit(i).alias("_dim"), "slices")
         found = one if found is None else found.unionByName(one)
     # Both lists have at most len(tables) * max_keys rows.
     in_base = (base if base_keys is None else base_keys).select(key)

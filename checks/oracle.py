@@ -302,6 +302,58 @@ UNIFIED_INTS = (
     "emp_length", "loan_term_years", "delinq_2yrs", "mths_since_last_delinq", *S.RECORD_COUNTS,
 )
 
+CLEAN_COLUMNS = {
+    "customers": [S.CUSTOMER_RENAMES.get(c, c) for c in S.CUSTOMERS_SOURCE],
+    "loans": LOANS_COLUMNS.split(", "),
+    "repayments": ["loan_id", *S.REPAYMENT_REQUIRED, "last_payment_date", "next_payment_date"],
+    "delinq": ["member_id", *S.UNIFIED_DELINQUENCY],
+    "detail": ["member_id", *S.RECORD_COUNTS],
+}
+RAW_ENTITIES = {
+    "customers": S.CUSTOMERS_SOURCE,
+    "loans": [c if c != "loan_term_years" else "loan_term_months" for c in LOANS_COLUMNS.split(", ")],
+    "repayments": CLEAN_COLUMNS["repayments"],
+    "defaulters": S.DEFAULTERS_SOURCE,
+}
+
+
+def _profile(table: str, step: str, source: str, columns) -> str:
+    counts = {"rows": "count(*)"} | {f"null {c}": f"count(*) FILTER (WHERE {c} IS NULL)" for c in columns}
+    pairs = ", ".join(f"{{'metric': '{m}', 'n': {n}}}" for m, n in counts.items())
+    return f"SELECT '{table}' AS table_name, '{step}' AS step, unnest([{pairs}], recursive := true) FROM {source}"
+
+
+def _rule_rows(table: str, step: str, query: str) -> str:
+    return f"""SELECT '{table}' AS table_name, '{step}' AS step, 'rule ' || metric AS metric, n
+        FROM (UNPIVOT ({query}) ON COLUMNS(*) INTO NAME metric VALUE n)"""
+
+
+REPAYMENT_RULES = """SELECT count(*) FILTER (WHERE total_payment_received = 0) AS zero_payment,
+        count(*) FILTER (WHERE total_payment_received = 0 AND total_principal_received <> 0)
+            AS inconsistent_zero_payment,
+        count(*) FILTER (WHERE try_cast(last_payment_date AS DOUBLE) = 0) AS zero_last_payment_date,
+        count(*) FILTER (WHERE try_cast(next_payment_date AS DOUBLE) = 0) AS zero_next_payment_date,
+        count(*) FILTER (WHERE last_payment_date IS NULL) AS null_last_payment_date,
+        count(*) FILTER (WHERE next_payment_date IS NULL) AS null_next_payment_date FROM t_r_kept"""
+CUSTOMER_RULES = """SELECT
+        count(*) FILTER (WHERE annual_income IS NULL) AS null_income,
+        count(*) FILTER (WHERE emp_length IS NULL) AS null_emp_length,
+        count(*) FILTER (WHERE length(address_state) > 2) AS long_state FROM t_c_distinct"""
+MART_COLUMNS = {
+    "mart_status_share": ("loan_status", "t_loans"), "mart_purpose_share": ("loan_purpose", "t_loans"),
+    "mart_grade_share": ("grade", "t_profiled"), "mart_default_rate_state": ("address_state", None),
+    "mart_default_rate_home": ("home_ownership", None), "mart_default_rate_emp": ("emp_length", None),
+    "mart_default_rate_income": ("cast(floor(annual_income / 25000) * 25000 AS BIGINT)", None),
+}
+
+
+def _cube_part(mart: str, column: str, table: str | None) -> str:
+    value = "share" if table else "default_rate"
+    source = _share(column, table) if table else _rate(column, "value")
+    name = column if table else "value"
+    return f"SELECT '{mart}' AS mart, cast({name} AS VARCHAR) AS value, loans, {value} AS rate FROM ({source})"
+
+
 FINAL = {
     # scans and sinks
     "scan_csv_inferred": "SELECT * FROM t_e_defaulters",
@@ -312,6 +364,7 @@ FINAL = {
     "sink_csv": f"SELECT {LOANS_COLUMNS} FROM t_loans",
     "sink_parquet": "SELECT * FROM t_repayments",
     "sink_table": "SELECT * FROM t_detail",
+    "sink_release": f"SELECT {LOANS_COLUMNS}, {ISSUE_YEAR} AS issue_year FROM t_loans",
     "sink_partitioned": f"SELECT {LOANS_COLUMNS}, {ISSUE_YEAR} AS issue_year FROM t_loans",
     "star_schema": f"""SELECT {ISSUE_YEAR} AS issue_year, p.grade, l.loan_status, count(*) AS loans,
         {_money("l.funded_amount")} AS funded_amount,
@@ -385,17 +438,14 @@ FINAL = {
     "profile_nulls": _nulls(
         ("loan_id", *S.REPAYMENT_REQUIRED, "last_payment_date", "next_payment_date"), "t_e_repayments"
     ),
-    "profile_rules": """SELECT count(*) FILTER (WHERE total_payment_received = 0) AS zero_payment,
-        count(*) FILTER (WHERE total_payment_received = 0 AND total_principal_received <> 0)
-            AS inconsistent_zero_payment,
-        count(*) FILTER (WHERE try_cast(last_payment_date AS DOUBLE) = 0) AS zero_last_payment_date,
-        count(*) FILTER (WHERE try_cast(next_payment_date AS DOUBLE) = 0) AS zero_next_payment_date,
-        count(*) FILTER (WHERE last_payment_date IS NULL) AS null_last_payment_date,
-        count(*) FILTER (WHERE next_payment_date IS NULL) AS null_next_payment_date FROM t_r_kept""",
-    "profile_rules_customers": """SELECT
-        count(*) FILTER (WHERE annual_income IS NULL) AS null_income,
-        count(*) FILTER (WHERE emp_length IS NULL) AS null_emp_length,
-        count(*) FILTER (WHERE length(address_state) > 2) AS long_state FROM t_c_distinct""",
+    "profile_rules": REPAYMENT_RULES,
+    "profile_rules_customers": CUSTOMER_RULES,
+    "profile_observed": " UNION ALL ".join([
+        *(_profile(n, "raw", f"t_e_{n}", c) for n, c in RAW_ENTITIES.items()),
+        *(_profile(n, "clean", f"t_{n}", c) for n, c in CLEAN_COLUMNS.items()),
+        _rule_rows("repayments", "raw", REPAYMENT_RULES),
+        _rule_rows("customers", "distinct", CUSTOMER_RULES),
+    ]),
     "rows_null_amount": "SELECT * FROM t_e_loans WHERE loan_amount IS NULL",
     "distinct_rows": "SELECT * FROM t_c_distinct",
     "distinct_values": "SELECT DISTINCT address_state FROM t_customers",
@@ -455,6 +505,7 @@ FINAL = {
     "mart_status_share": _share("loan_status", "t_loans"),
     "mart_grade_share": _share("grade", "t_profiled"),
     "mart_purpose_share": _share("loan_purpose", "t_loans"),
+    "mart_cube": " UNION ALL ".join(_cube_part(m, *c) for m, c in MART_COLUMNS.items()),
     "mart_issue_trend": f"""SELECT strftime({_month("issue_date")}, '%Y-%m') AS issue_month,
         count(*) AS loans, {_money("funded_amount")} AS funded_amount FROM t_loans GROUP BY 1""",
     "mart_repayment_trend": f"""SELECT strftime({_month("last_payment_date")}, '%Y-%m')
@@ -482,6 +533,8 @@ FINAL = {
     "verify_dedup": """SELECT max(n) AS most_rows, max(n) <= 1 AS passed
         FROM (SELECT count(*) AS n FROM t_customers_new GROUP BY member_id)""",
     "unified_table": f"SELECT {_cols(S.UNIFIED_COLUMNS)} FROM t_unified",
+    "unified_factorised": f"SELECT {_cols(S.UNIFIED_COLUMNS)} FROM t_unified",
+    "unified_factorised_sliced": f"SELECT {_cols(S.UNIFIED_COLUMNS)} FROM t_unified",
     "unified_table_loan_grain": f"""SELECT l.loan_id, {_cols(S.UNIFIED_CUSTOMER, "c.")},
         {_cols(S.UNIFIED_LOAN, "l.")}, {_cols(S.UNIFIED_REPAYMENT, "r.")},
         {_cols(S.UNIFIED_DELINQUENCY, "d.")}, {_cols(S.UNIFIED_DETAIL, "e.")},

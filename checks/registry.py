@@ -23,11 +23,14 @@ from ledgerlark.operators import identity as I
 from ledgerlark.operators import member_counts as N
 from ledgerlark.operators import quality as Q
 from ledgerlark.operators import scoring as R
+from ledgerlark.operators.observed import Profile
+from ledgerlark.plans import factorised as X
 from ledgerlark.plans import marts as M
 from ledgerlark.plans import unified as U
 from ledgerlark.plans.pipeline import write_tables
 from ledgerlark.session import stored_bytes, tune
 from ledgerlark.sources import readers, writers
+from ledgerlark.sources.releases import Release
 from ledgerlark.sources.scratch import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,6 +219,38 @@ def sink_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(readers.read_parquet(spark, path))
 
 
+def sink_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two releases of the loans; readers see the second one after its switch."""
+    prefix, folder = f"ledgerlark_{uuid.uuid4().hex}_", scratch_path(spark, "releases")
+    loans = tables(spark, sf_dir)["loans"]
+    for rows in (loans.where("loan_term_years = 3"), loans):
+        release = Release(spark, prefix, folder)
+        release.write("loans", writers.add_issue_year(rows), partition_by=["issue_year"])
+        release.switch()
+    return _plain(spark.table(f"{prefix}loans"))
+
+
+def profile_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles taken along while the clean tables are written."""
+    base, profile = scratch_path(spark, "profiled"), Profile()
+    write_tables(raw_loans(spark, sf_dir), lambda name: f"{base}/{name}", profile=profile)
+    return profile.rows(spark)
+
+
+def mart_cube(t: dict[str, DataFrame]) -> DataFrame:
+    """The seven marts over loans, one below the other, from the one-pass cube."""
+    cube = materialize(M.mart_cube(t["loans"], t["customers"]), "cube")
+    out = None
+    for name, df in M.marts_of(cube).items():
+        column = (M.SHARES | M.RATES)[name]
+        rate = "share" if name in M.SHARES else "default_rate"
+        one = df.select(
+            F.lit(name).alias("mart"), F.col(column).cast("string").alias("value"), "loans", F.col(rate).alias("rate")
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def sink_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"ledgerlark_loans_{uuid.uuid4().hex}"
     loans = tables(spark, sf_dir)["loans"]
@@ -271,6 +306,18 @@ def unified_view(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def unified_factorised(slice_rows: int) -> Query:
+    """The wide table through the view over its stored factors."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        name = f"ledgerlark_factors_{uuid.uuid4().hex}"
+        factors = X.factorised(tables(spark, sf_dir), slice_rows, counts=counts(spark, sf_dir))
+        writers.write_table(factors, name, options={"path": scratch_path(spark, "factors")})
+        return _plain(X.register_wide_view(spark, name, f"{name}_wide"))
+
+    return query
+
+
 # --- scoring -----------------------------------------------------------------
 
 ALTERNATIVE_PARAMS = ScoreParams(
@@ -351,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "sink_parquet": sink_parquet,
     "sink_table": sink_table,
     "sink_partitioned": sink_partitioned,
+    "sink_release": sink_release,
     "star_schema": on_tables(lambda t: U.star_summary(U.star_schema(t))),
     "star_schema_dim_customer": on_tables(lambda t: U.star_schema(t)["dim_customer"]),
     "star_schema_dim_issue_month": on_tables(lambda t: U.star_schema(t)["dim_issue_month"]),
@@ -416,6 +464,7 @@ QUERIES: dict[str, Query] = {
     "profile_rules_customers": on_customers(
         lambda df: Q.profile_rules(Q.distinct_rows(K.rename_customers(df)), Q.customer_rules())
     ),
+    "profile_observed": profile_observed,
     "rows_null_amount": on_loans(lambda df: K.rows_null(df, "loan_amount")),
     "distinct_rows": on_customers(lambda df: Q.distinct_rows(K.rename_customers(df))),
     "distinct_values": on_tables(lambda t: Q.distinct_values(t["customers"], "address_state")),
@@ -494,6 +543,7 @@ QUERIES: dict[str, Query] = {
     "mart_status_share": on_tables(lambda t: M.mart_status_share(t["loans"])),
     "mart_grade_share": on_tables(lambda t: M.mart_grade_share(t["loans"], t["customers"])),
     "mart_purpose_share": on_tables(lambda t: M.mart_purpose_share(t["loans"])),
+    "mart_cube": on_tables(mart_cube),
     "mart_issue_trend": on_tables(lambda t: M.mart_issue_trend(t["loans"])),
     "mart_repayment_trend": on_tables(lambda t: M.mart_repayment_trend(t["repayments"])),
     "mart_default_rate_state": on_tables(
@@ -518,5 +568,7 @@ QUERIES: dict[str, Query] = {
     "detail_new_from_counts": new_from_counts("detail"),
     "verify_dedup": on_members(lambda t: Q.verify_dedup(Q.without_repeated("customers", t))),
     "unified_table": on_tables(U.unified_table),
+    "unified_factorised": unified_factorised(X.SLICE_ROWS),
+    "unified_factorised_sliced": unified_factorised(20),
     "unified_table_loan_grain": on_tables(lambda t: U.unified_table(t, grain="loan")),
 }

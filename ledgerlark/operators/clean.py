@@ -143,14 +143,18 @@ def distinct_customers(customers: DataFrame) -> DataFrame:
     return filter_not_null(rename_customers(customers).distinct())
 
 
-def clean_customers(customers: DataFrame, ingest_at: datetime | Column | None = None) -> DataFrame:
-    """Job order: rename, distinct, income filter, employment length, its mean, state.
+def finish_customers(customers: DataFrame, ingest_at: datetime | Column | None = None) -> DataFrame:
+    """What follows the distinct: employment length, its mean, state, ingest time.
 
     The ingest time is one constant per query, so adding it after the distinct gives the same rows
     and keeps it out of the shuffle.
     """
-    cleaned = clean_emp_length(distinct_customers(customers))
-    return add_ingest_ts(clean_state(impute_emp_length(cleaned)), ingest_at)
+    return add_ingest_ts(clean_state(impute_emp_length(clean_emp_length(customers))), ingest_at)
+
+
+def clean_customers(customers: DataFrame, ingest_at: datetime | Column | None = None) -> DataFrame:
+    """Job order: rename, distinct, income filter, employment length, its mean, state."""
+    return finish_customers(distinct_customers(customers), ingest_at)
 
 
 def clean_loans(loans: DataFrame, ingest_at: datetime | Column | None = None) -> DataFrame:

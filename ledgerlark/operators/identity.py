@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -28,13 +28,18 @@ def member_identity(
     return raw.withColumn(alias, F.sha2(F.concat_ws(S.IDENTITY_SEPARATOR, *parts), 256))
 
 
-def _entity(raw_with_key: DataFrame, columns: Iterable[str]) -> DataFrame:
+def entity_columns(columns: Iterable[str]) -> list[Column]:
+    """The columns of an entity, from the raw frame with its member key."""
     derived = {
         "member_id": F.col("name_sha2").alias("member_id"),
         "loan_id": F.col("id").alias("loan_id"),
         "country": F.lit("USA").alias("country"),
     }
-    return raw_with_key.select(*(derived.get(c, F.col(c)) for c in columns))
+    return [derived.get(c, F.col(c)) for c in columns]
+
+
+def _entity(raw_with_key: DataFrame, columns: Iterable[str]) -> DataFrame:
+    return raw_with_key.select(*entity_columns(columns))
 
 
 def split_customers(raw_with_key: DataFrame) -> DataFrame:
@@ -53,22 +58,27 @@ def split_defaulters(raw_with_key: DataFrame) -> DataFrame:
     return _entity(raw_with_key, S.DEFAULTERS_SOURCE)
 
 
-def conform(df: DataFrame, layout: str | StructType) -> DataFrame:
-    """Give an entity the names and types of ``layout`` by position, as a trip through CSV would.
+def conformed(columns: Sequence[Column], layout: str | StructType) -> list[Column]:
+    """``columns`` with the names and types of ``layout`` by position, as a trip through CSV would.
 
     Text loses outer blanks, empty text becomes NULL, a number that does not fit becomes NULL.
     """
     target = StructType.fromDDL(layout) if isinstance(layout, str) else layout
-    if len(target) != len(df.columns):
-        raise ValueError(f"expected {len(target)} columns, got {len(df.columns)}")
+    if len(target) != len(columns):
+        raise ValueError(f"expected {len(target)} columns, got {len(columns)}")
     picked = []
-    for source, field in zip(df.columns, target, strict=True):
+    for source, field in zip(columns, target, strict=True):
         if field.dataType == StringType():
-            value = F.nullif(F.trim(F.col(source).cast("string")), F.lit(""))
+            value = F.nullif(F.trim(source.cast("string")), F.lit(""))
         else:
-            value = F.col(source).try_cast(field.dataType)
+            value = source.try_cast(field.dataType)
         picked.append(value.alias(field.name))
-    return df.select(*picked)
+    return picked
+
+
+def conform(df: DataFrame, layout: str | StructType) -> DataFrame:
+    """Give an entity the names and types of ``layout``, see :func:`conformed`."""
+    return df.select(*conformed([F.col(c) for c in df.columns], layout))
 
 
 def customers_entity(raw_with_key: DataFrame) -> DataFrame:

@@ -34,15 +34,20 @@ def profile_rules(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return df.agg(*(F.count_if(rule).alias(name) for name, rule in rules.items()))
 
 
-def repayment_rules() -> dict[str, Column]:
-    total, principal = F.col("total_payment_received"), F.col("total_principal_received")
+def repayment_rules(columns: Mapping[str, Column] | None = None) -> dict[str, Column]:
+    """Rules over repayments; ``columns`` gives the values where the frame has other names."""
+
+    def col(name: str) -> Column:
+        return F.col(name) if columns is None else columns[name]
+
+    total, principal = col("total_payment_received"), col("total_principal_received")
     return {
         "zero_payment": total == 0.0,
         "inconsistent_zero_payment": C.inconsistent_zero(total, principal),
-        "zero_last_payment_date": C.is_zero_text(F.col("last_payment_date")),
-        "zero_next_payment_date": C.is_zero_text(F.col("next_payment_date")),
-        "null_last_payment_date": F.col("last_payment_date").isNull(),
-        "null_next_payment_date": F.col("next_payment_date").isNull(),
+        "zero_last_payment_date": C.is_zero_text(col("last_payment_date")),
+        "zero_next_payment_date": C.is_zero_text(col("next_payment_date")),
+        "null_last_payment_date": col("last_payment_date").isNull(),
+        "null_next_payment_date": col("next_payment_date").isNull(),
     }
 
 

@@ -123,6 +123,59 @@ def mart_default_rate_income(loans: DataFrame, customers: DataFrame) -> DataFram
     return _default_rate(loans, customers, income_band(F.col("annual_income")), "income_band")
 
 
+# --- all marts over loans in one pass ------------------------------------------
+
+SHARES = {"mart_status_share": "loan_status", "mart_purpose_share": "loan_purpose", "mart_grade_share": "grade"}
+RATES = {
+    "mart_default_rate_state": "address_state", "mart_default_rate_home": "home_ownership",
+    "mart_default_rate_emp": "emp_length", "mart_default_rate_income": "income_band",
+}
+DIMENSIONS = (*SHARES.values(), *RATES.values())
+
+
+def mart_cube(loans: DataFrame, customers: DataFrame) -> DataFrame:
+    """Loans and defaulted loans per value of every dimension: one scan and one join for all of them.
+
+    Loans are summed per member, status and purpose, joined to one row per member, and summed again by
+    grouping sets. ``dimension`` tells which column a row is about; the others are NULL. ``loans``
+    counts all loans, ``known`` and ``defaulted`` those whose member has a customer row. Store the result:
+    it has a row per value, and :func:`marts_of` reads it once per mart.
+    """
+    summed = loans.groupBy(MEMBER, "loan_status", "loan_purpose").agg(
+        _rows().alias("n"), F.count_if(is_default(F.col("loan_status"))).alias("bad")
+    )
+    profile = member_profile(customers).withColumn("income_band", income_band(F.col("annual_income")))
+    profile = profile.drop("annual_income").withColumn("_known", F.lit(True))
+    joined = summed.join(profile, MEMBER, "left")
+    known = F.col("_known").isNotNull()
+    dimension = F.lit(None).cast("string")
+    for name in DIMENSIONS:
+        dimension = F.when(F.grouping(name) == 0, F.lit(name)).otherwise(dimension)
+    return joined.groupingSets([[d] for d in DIMENSIONS], *DIMENSIONS).agg(
+        dimension.alias("dimension"),
+        F.sum("n").alias("loans"),
+        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("known"),
+        F.coalesce(F.sum(F.when(known, F.col("bad"))), F.lit(0)).alias("defaulted"),
+    )
+
+
+def marts_of(cube: DataFrame) -> dict[str, DataFrame]:
+    """The seven marts of a stored cube, with the columns of the functions of the same names."""
+    out = {}
+    for mart, column in SHARES.items():
+        own = cube.where(F.col("dimension") == column)
+        if column == "grade":
+            # Of the customers; a value that only loans without a customer have is none.
+            own = own.withColumn("loans", F.col("known")).where(F.col("known") > 0)
+        total = own.agg(F.sum("loans")).scalar()
+        out[mart] = own.select(column, "loans", F.round(F.col("loans") / total, 6).alias("share"))
+    for mart, column in RATES.items():
+        own = cube.where((F.col("dimension") == column) & (F.col("known") > 0))
+        rate = F.round(F.col("defaulted") / F.col("known"), 6)
+        out[mart] = own.select(column, F.col("known").alias("loans"), "defaulted", rate.alias("default_rate"))
+    return out
+
+
 def mart_score_histogram(scores: DataFrame, width: int = 250) -> DataFrame:
     """Loans per score bin, named by the bin's lower edge; loans without a score are the NULL bin."""
     edge = (F.floor(F.col("loan_score") / F.lit(width)) * F.lit(width)).cast("long")

@@ -6,12 +6,21 @@ from pyspark.sql import functions as F
 from checks.registry import raw_loans
 from small_tables import SMALL, rows
 from ledgerlark import schema as S
-from ledgerlark.plans.pipeline import CLEAN_TABLES, export_csv, run_pipeline
+from ledgerlark.operators import clean as K
+from ledgerlark.operators import identity as I
+from ledgerlark.operators import quality as Q
 from ledgerlark.operators.quality import profile_nulls
+from ledgerlark.plans import factorised as X
+from ledgerlark.plans import marts as M
+from ledgerlark.plans import unified as U
+from ledgerlark.plans.pipeline import CLEAN_TABLES, Run, export_csv, release_tables, run_pipeline, run_stages
 from ledgerlark.operators.scoring import score_pipeline
 from ledgerlark.sources import readers, scratch, writers
 
 
+MARTS = (*M.SHARES, *M.RATES)
+
+
 def data_files(path):
     return [f for f in os.listdir(path) if f.startswith("part-")]
 
@@ -139,12 +148,73 @@ def pipeline(spark, tmp_path_factory):
 
 def test_pipeline_writes_every_table(spark, pipeline):
     target, result = pipeline
-    names = {*CLEAN_TABLES, "bad_members", "customers_new", "delinq_new", "detail_new", "unified", "loan_score"}
+    names = {
+        *CLEAN_TABLES, "profiles", "records_enquiries", "member_state", "member_counts", "bad_members",
+        "bad_customers", "bad_delinq", "bad_detail", "customers_new", "delinq_new", "detail_new",
+        "unified_factors", "loan_score", "fact_loan", "dim_customer", "dim_issue_month", "star_summary",
+        "mart_cube", *MARTS, "mart_issue_trend", "mart_repayment_trend", "mart_score_histogram",
+        "mart_risk_category",
+    }
     assert set(result) == names
     for name in names:
         assert spark.read.parquet(str(target / name)).count() == result[name].count()
 
 
+def test_pipeline_tables_equal_the_operators(spark, tables, pipeline):
+    result = pipeline[1]
+    three = {n: tables[n] for n in ("customers", "delinq", "detail")}
+    assert rows(result["bad_members"]) == rows(Q.bad_members(three))
+    assert rows(result["bad_delinq"]) == rows(Q.duplicate_keys(tables["delinq"]))
+    for name in three:
+        got = result[f"{name}_new"].drop("ingest_date")
+        assert rows(got) == rows(Q.without_repeated(name, three).drop("ingest_date"))
+    assert X.wide_rows(result["unified_factors"]).count() == U.unified_table(tables).count()
+    for name in MARTS:
+        arguments = [tables["loans"]] if name in ("mart_status_share", "mart_purpose_share") else [
+            tables["loans"], tables["customers"]]
+        assert rows(result[name]) == rows(getattr(M, name)(*arguments)), name
+
+
+def test_profiles_equal_the_scans(spark, tables, pipeline):
+    """Counts taken along by the writes equal those of queries of their own."""
+    found = {(r.table_name, r.step, r.metric): r.n for r in pipeline[1]["profiles"].collect()}
+    keyed = I.member_identity(raw_loans(spark, SMALL))
+    repayments = I.repayments_entity(keyed)
+    for column, n in Q.profile_nulls(repayments).first().asDict().items():
+        assert found["repayments", "raw", f"null {column}"] == n
+    kept = repayments.na.drop(subset=list(S.REPAYMENT_REQUIRED))
+    for rule, n in Q.profile_rules(kept, Q.repayment_rules()).first().asDict().items():
+        assert found["repayments", "raw", f"rule {rule}"] == n
+    distinct = Q.distinct_rows(K.rename_customers(I.customers_entity(keyed)))
+    for rule, n in Q.profile_rules(distinct, Q.customer_rules()).first().asDict().items():
+        assert found["customers", "distinct", f"rule {rule}"] == n
+    for name in CLEAN_TABLES:
+        df = tables[name].drop("ingest_date")
+        assert found[name, "clean", "rows"] == df.count()
+        for column, n in Q.profile_nulls(df).first().asDict().items():
+            assert found[name, "clean", f"null {column}"] == n
+
+
+def test_stages_start_from_stored_tables(spark, tables, pipeline):
+    target = str(pipeline[0])
+    again = run_stages(Run(spark, target, wide="none"), ["marts", "score"])
+    assert rows(again["loan_score"]) == rows(score_pipeline(tables))
+    assert "mart_cube" in again and "customers" not in again
+    with pytest.raises(ValueError, match="unknown stages"):
+        run_stages(Run(spark, target), ["scores"])
+    with pytest.raises(ValueError, match="raw rows"):
+        run_stages(Run(spark, target), ["clean"])
+
+
+def test_tables_are_released_together(spark, pipeline):
+    some = {n: pipeline[1][n] for n in ("loans", "customers_new", "unified_factors", "bad_members")}
+    release_tables(spark, some, "rls_")
+    for name in ("customers_new", "bad_members"):
+        assert spark.table(f"rls_{name}").count() == some[name].count()
+    assert spark.table("rls_unified").count() == X.wide_rows(some["unified_factors"]).count()
+    assert "issue_year" in spark.table("rls_loans").columns
+
+
 def test_pipeline_scores(tables, pipeline):
     assert rows(pipeline[1]["loan_score"]) == rows(score_pipeline(tables))
 
@@ -156,15 +226,25 @@ def test_export(spark, pipeline, tmp_path):
 
 
 def test_command_line(spark, tables, tmp_path):
-    """Raw CSV in; Parquet, CSV and warehouse tables out, with the same scores."""
+    """Raw CSV in; Parquet, CSV and warehouse tables out, with the same scores; then one stage again."""
     from ledgerlark.__main__ import main
 
     raw_loans(spark, SMALL).write.csv(str(tmp_path / "raw"), header=True, ignoreLeadingWhiteSpace=False)
-    target, copies = tmp_path / "out", tmp_path / "csv"
-    main([str(tmp_path / "raw"), str(target), "--csv", str(copies), "--tables", "cli_", "--no-unified"])
+    target, copies = str(tmp_path / "out"), str(tmp_path / "csv")
+    stages = [part for name in ("clean", "count", "score") for part in ("--stage", name)]
+    main([target, "--raw", str(tmp_path / "raw"), *stages, "--csv", copies, "--tables", "cli_"])
     expected = rows(score_pipeline(tables))
-    assert rows(spark.read.parquet(str(target / "loan_score"))) == expected
+    assert rows(spark.read.parquet(f"{target}/loan_score")) == expected
     assert rows(spark.table("cli_loan_score")) == expected
-    assert not (target / "unified").exists()
     assert spark.table("cli_loans").count() == tables["loans"].count()
-    assert spark.read.csv(str(copies / "loan_score"), header=True).count() == len(expected)
+    assert spark.read.csv(f"{copies}/loan_score", header=True).count() == len(expected)
+    assert not os.path.exists(f"{copies}/member_state")
+    main([target, "--stage", "quality", "--release", "cli2_"])
+    assert spark.table("cli2_detail_new").count() == Q.without_repeated(
+        "detail", {n: tables[n] for n in ("customers", "delinq", "detail")}).count()
+    orc = f"path={tmp_path / 'orc'}"
+    main([target, "--stage", "score", "--tables", "x_", "--format", "orc", "--option", orc])
+    assert spark.read.orc(str(tmp_path / "orc")).count() > 0
+    for wrong in (["--stage", "clean"], ["--option", "path"]):
+        with pytest.raises(SystemExit):
+            main([target, *wrong])

@@ -347,6 +347,16 @@ MART_COLUMNS = {
 }
 
 
+DIMENSION = "member_id, home_ownership, emp_length, annual_income, address_state, grade, sub_grade"
+MOVED = "CASE WHEN address_state = 'CA' THEN 'WA' ELSE address_state END"
+
+
+def _dimension(where: str, state: str) -> str:
+    return f"""SELECT member_id, min(home_ownership) AS home_ownership, min(emp_length) AS emp_length,
+        min(annual_income) AS annual_income, min({state}) AS address_state, min(grade) AS grade,
+        min(sub_grade) AS sub_grade FROM t_customers WHERE {where} GROUP BY member_id"""
+
+
 def _cube_part(mart: str, column: str, table: str | None) -> str:
     value = "share" if table else "default_rate"
     source = _share(column, table) if table else _rate(column, "value")
@@ -384,6 +394,15 @@ FINAL = {
     "unified_view": f"""SELECT loan_status, loan_purpose, count(*) AS n,
         count(DISTINCT member_id) AS members, count(loan_id) AS with_loan
         FROM t_unified GROUP BY loan_status, loan_purpose""",
+    "dim_customer_history": f"""SELECT md5(valid_from || '|=' || member_id) AS customer_key, {DIMENSION},
+            valid_from, valid_to FROM (
+        SELECT a.*, cast(1 AS BIGINT) AS valid_from, CASE WHEN b.member_id IS NOT NULL AND (a IS DISTINCT FROM b)
+            THEN cast(2 AS BIGINT) END AS valid_to FROM ({_dimension("annual_income < 100000", "address_state")}) a
+            LEFT JOIN ({_dimension("annual_income >= 50000", MOVED)}) b ON a.member_id = b.member_id
+        UNION ALL
+        SELECT b.*, 2, NULL FROM ({_dimension("annual_income >= 50000", MOVED)}) b
+            LEFT JOIN ({_dimension("annual_income < 100000", "address_state")}) a ON a.member_id = b.member_id
+            WHERE a.member_id IS NULL OR a IS DISTINCT FROM b)""",
     # projections
     "member_identity": "SELECT * FROM t_keyed",
     "split_customers": f"""SELECT name_sha2 AS member_id, 'USA' AS country,
@@ -435,6 +454,12 @@ FINAL = {
     # aggregations
     "count_rows": "SELECT count(*) AS total_rows FROM t_keyed",
     "count_distinct_members": "SELECT count(DISTINCT name_sha2) AS distinct_members FROM t_keyed",
+    "distinct_members_sketched": f"""SELECT {ISSUE_YEAR} AS issue_year, count(DISTINCT member_id) AS members,
+        true AS near FROM t_loans GROUP BY 1
+        UNION ALL SELECT NULL, count(DISTINCT member_id), true FROM t_loans""",
+    "heavy_members_sketched": """SELECT member_id, n, cast(ceil(n / edge) AS BIGINT) AS slices
+        FROM (SELECT member_id, count(*) AS n FROM t_loans GROUP BY member_id),
+            (SELECT greatest(count(*) / 1000.0, 3) AS edge FROM t_loans) WHERE n > edge""",
     "profile_nulls": _nulls(
         ("loan_id", *S.REPAYMENT_REQUIRED, "last_payment_date", "next_payment_date"), "t_e_repayments"
     ),

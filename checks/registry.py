@@ -23,7 +23,10 @@ from ledgerlark.operators import identity as I
 from ledgerlark.operators import member_counts as N
 from ledgerlark.operators import quality as Q
 from ledgerlark.operators import scoring as R
+from ledgerlark.operators import sketches as H
 from ledgerlark.operators.observed import Profile
+from ledgerlark.operators.skew import SkewLimits
+from ledgerlark.plans import dimension as D
 from ledgerlark.plans import factorised as X
 from ledgerlark.plans import marts as M
 from ledgerlark.plans import unified as U
@@ -318,6 +321,43 @@ def unified_factorised(slice_rows: int) -> Query:
     return query
 
 
+# --- sketches and history ------------------------------------------------------
+
+
+def distinct_members_sketched(t: dict[str, DataFrame]) -> DataFrame:
+    """Exact members per year and over all years, and whether the merged states' estimates are near them."""
+    loans = writers.add_issue_year(t["loans"]).select("issue_year", "member_id")
+    states = materialize(H.member_sketches(loans, "issue_year"), "sketches")
+    whole = H.merge_sketches(states).withColumn("issue_year", F.lit(None).cast("int"))
+    estimated = H.estimated_members(states.unionByName(whole))
+    exact = loans.groupBy("issue_year").agg(F.countDistinct("member_id").alias("members"))
+    exact = exact.unionByName(
+        Q.count_distinct_members(loans).select(
+            F.lit(None).cast("int").alias("issue_year"), F.col("distinct_members").alias("members")
+        )
+    )
+    joined = exact.alias("x").join(estimated.alias("e"), F.col("x.issue_year").eqNullSafe(F.col("e.issue_year")))
+    # Four standard errors of the state's size.
+    near = F.abs(F.col("e.members") - F.col("x.members")) <= F.greatest(F.lit(1.0), F.col("x.members") * 0.033)
+    return joined.select("x.issue_year", "x.members", near.alias("near"))
+
+
+SKETCH_LIMITS = SkewLimits(max_keys=1000, min_rows=3)
+
+
+def heavy_members_sketched(t: dict[str, DataFrame]) -> DataFrame:
+    return H.sketched_heavy_keys(t["loans"], "member_id", SKETCH_LIMITS)
+
+
+def dim_customer_history(t: dict[str, DataFrame]) -> DataFrame:
+    """The customer dimension after two files, the second of which changes some members and lacks others."""
+    customers = t["customers"]
+    moved = F.when(F.col("address_state") == "CA", F.lit("WA")).otherwise(F.col("address_state"))
+    second = customers.where("annual_income >= 50000").withColumn("address_state", moved)
+    first = D.first_load(customers.where("annual_income < 100000"), 1)
+    return D.merge_load(materialize(first, "dimension"), second, 2)
+
+
 # --- scoring -----------------------------------------------------------------
 
 ALTERNATIVE_PARAMS = ScoreParams(
@@ -403,6 +443,7 @@ QUERIES: dict[str, Query] = {
     "star_schema_dim_customer": on_tables(lambda t: U.star_schema(t)["dim_customer"]),
     "star_schema_dim_issue_month": on_tables(lambda t: U.star_schema(t)["dim_issue_month"]),
     "star_schema_fact_loan": on_tables(lambda t: U.star_schema(t)["fact_loan"]),
+    "dim_customer_history": on_tables(dim_customer_history),
     "unified_view": on_tables(unified_view),
     # 2.2 projections
     "member_identity": on_keyed(lambda df: df),
@@ -459,6 +500,8 @@ QUERIES: dict[str, Query] = {
     # 2.4 aggregations
     "count_rows": on_keyed(Q.count_rows),
     "count_distinct_members": on_keyed(lambda df: Q.count_distinct_members(df, "name_sha2")),
+    "distinct_members_sketched": on_tables(distinct_members_sketched),
+    "heavy_members_sketched": on_tables(heavy_members_sketched),
     "profile_nulls": on_repayments(Q.profile_nulls),
     "profile_rules": on_kept_repayments(lambda df: Q.profile_rules(df, Q.repayment_rules())),
     "profile_rules_customers": on_customers(

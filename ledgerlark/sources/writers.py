@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.cleaning import month_start
+from ledgerlark.sources.clustering import interleaved_key
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -55,18 +56,20 @@ def write_partitioned(
     path: str | None = None,
     years_only: bool = False,
 ) -> None:
-    """Loans as a table partitioned by issue year, clustered by member and status within files.
+    """Loans as a table partitioned by issue year, clustered by member and status over its files.
 
-    Rows are dealt out by ranges of year, member and loan, so a file holds few members and its minima
-    and maxima prune by member, while one hot member or busy year is split over several files. The
-    whole table is replaced; with ``years_only`` an existing table only has the years present in
+    Rows are dealt out by ranges of year and a key that interleaves member and status, so a file's minima
+    and maxima prune by either; member and loan come last, so one hot member or busy year is split over
+    several files. The whole table is replaced; with ``years_only`` an existing table only has the years present in
     ``loans`` replaced.
     """
     spark = loans.sparkSession
+    key = interleaved_key(loans, ["member_id", "loan_status"])
     rows = (
-        add_issue_year(loans)
-        .repartitionByRange("issue_year", "member_id", "loan_id")
-        .sortWithinPartitions("issue_year", "member_id", "loan_status")
+        add_issue_year(loans.withColumn("_near", key))
+        .repartitionByRange("issue_year", "_near", "member_id", "loan_id")
+        .sortWithinPartitions("issue_year", "_near", "member_id", "loan_status")
+        .drop("_near")
     )
     if years_only and spark.catalog.tableExists(name):
         # insertInto goes by position, and the partition column is last in both. It takes the

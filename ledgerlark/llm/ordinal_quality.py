@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.shingles import word_hashes
+from ledgerlark.sources.scratch import materialize
 
 BITS = 17
 SAMPLE = 4000
@@ -108,18 +109,28 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str = "doc_id"
         grade_col: str = "grade", sample: int = SAMPLE, longest: int = LONGEST, bits: int = BITS) -> Model | None:
     """The model of the ``sample`` rated texts that come first by a hash; None when there are none.
 
-    Ratings without id or grade, outside ``0 .. grades - 1``, and texts that are null or longer than
-    ``longest`` bytes are not learned from.
+    Which texts these are is decided on ids and hashes alone; only their texts, of longer ones a piece of
+    ``longest`` bytes from a place given by its hash, come to the driver: ``sample * longest`` bytes at
+    most. Ratings without id or grade or outside ``0 .. grades - 1``, and null texts, are not learned from.
+    A text that repeats with its id and grade is learned from once.
     """
     rated = ratings.where(F.col(grade_col).between(0, grades - 1)).select(
         F.col(id_col).cast("long").alias("id"), F.col(grade_col).cast("int").alias("grade")
     )
-    texts = docs.where(F.octet_length(text_col) <= longest).select(
-        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")
-    )
-    # Sorting by hash and taking the first keeps a bounded heap per task.
-    first = rated.join(texts, "id").orderBy(F.xxhash64("id", "text"), "grade").limit(sample)
-    rows = first.select("text", "grade").collect()
+    text = F.col(text_col).cast("string")
+    texts = docs.where(text.isNotNull()).select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
+    hashed = texts.select("id", F.xxhash64("id", "text").alias("h"))
+    # Sorting by hash and taking the first keeps a bounded heap of numbers per task.
+    first = rated.join(hashed, "id").distinct().orderBy("h", "grade").limit(sample)
+    first = materialize(first, "rated")
+    # At most ``sample`` rows of three numbers.
+    chosen = F.broadcast(first.select("id", "h").distinct())
+    found = texts.withColumn("h", F.xxhash64("id", "text")).join(chosen, ["id", "h"], "left_semi")
+    places = F.greatest(F.octet_length("text") - F.lit(longest), F.lit(0)) + 1
+    start = F.pmod("h", places).cast("int") + 1
+    piece = F.substring(F.col("text").cast("binary"), start, F.lit(longest)).alias("piece")
+    pieces = {(r.id, r.h): r.piece for r in found.dropDuplicates(["id", "h"]).select("id", "h", piece).collect()}
+    rows = [(pieces[r.id, r.h].decode(errors="ignore"), r.grade) for r in first.orderBy("h", "grade").collect()]
     return fit_rows([(features(t, bits), g) for t, g in rows], grades, bits) if rows else None
 
 

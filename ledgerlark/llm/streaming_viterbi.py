@@ -1,9 +1,11 @@
 """SentencePiece encoding by a streaming Viterbi search, and decoding.
 
-The pieces, their scores and the normalisation are read from a given SentencePiece vocabulary; nothing
-is trained. A text's best segmentation has the largest sum of scores. The search goes through the text
+The pieces and their scores are read from a given SentencePiece vocabulary; nothing is trained and texts
+are not normalised. A text's best segmentation has the largest sum of scores. The search goes through the text
 once and keeps the last ``longest piece`` positions only: a boundary that all surviving backpointer
-paths pass through is final, and the ids up to it are given out at once. A character that no piece
+paths pass through is final, and the ids up to it are given out at once. Where no piece reaches over the
+end of a word, every word's end is such a boundary, and words that were met before are not searched again. A
+character that no piece
 covers becomes its UTF-8 bytes' pieces, or the unknown piece where the vocabulary has no bytes.
 """
 
@@ -11,10 +13,12 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
-from functools import cache, lru_cache
+from functools import cache
 from hashlib import sha256
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -23,9 +27,19 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
+
+
+def unit(others: str = "") -> re.Pattern[str]:
+    """Letters or other characters with the marks before them; ``others`` do not count as letters."""
+    more = re.escape(others)
+    return re.compile(rf"{SPACE}*(?:[^\W\d_{more}]+|(?:[^\w{SPACE}]|[\d_{more}])+)|{SPACE}+")
+
 # A character without a piece scores this much less than the worst piece, per byte.
 PENALTY = 10.0
 SOFT_BYTES = 1 << 22
+# Words up to this length are searched as a whole and kept, up to a number of them.
+SHORT = 64
+MOST_KNOWN = 300_000
 
 
 class Vocabulary:
@@ -53,13 +67,60 @@ class Vocabulary:
         self.lengths = {c: sorted(n) for c, n in lengths.items()}
         # A space mark after another character would tie words together.
         self.words_part = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.pieces)
-        self.cached = lru_cache(1 << 17)(lambda word: tuple(self.search(word)))
+        self.matches = ahocorasick.Automaton()
+        for piece, (score, i) in self.pieces.items():
+            self.matches.add_word(piece, (len(piece), score, i))
+        if self.pieces:
+            self.matches.make_automaton()
+        self.known: dict[str, tuple[bytes, int]] = {}
+        self.single = {p for p in self.pieces if len(p) == 1}
+        # Where no piece has a letter beside another character, paths also meet between these.
+        letter = re.compile(r"[^\W\d_]")
+        mixed = {c for p in self.pieces if not unit().fullmatch(p) for c in letter.findall(p)}
+        parts = unit("".join(sorted(mixed)))
+        self.unit = parts if self.words_part and all(map(parts.fullmatch, self.pieces)) else WORD
+        texts = [b"" if i in self.control else t.replace(SPACE, " ").encode() for i, t in enumerate(self.texts)]
+        self.said = [bytes([self.byte_of[i]]) if i in self.byte_of else t for i, t in enumerate(texts)]
 
     def fallback(self, character: str) -> list[int]:
         if not self.bytes:
             return [self.unknown]
         return [self.bytes[b] for b in character.encode()]
 
+    def search_word(self, word: str) -> list[int]:
+        """The ids of :meth:`search` for a word that is short enough to be kept whole.
+
+        All paths meet at the word's end, so the window is the word. Pieces are found by their ends, longest
+        first, in one walk.
+        """
+        best: list[float | None] = [0.0] + [None] * len(word)
+        back = [(0, -1)] * (len(word) + 1)
+        if not self.single.issuperset(word):
+            return list(self.search(word))
+        for at, (length, score, piece) in self.matches.iter(word):
+            end = at + 1
+            reach = best[end - length] + score
+            had = best[end]
+            if had is None or reach > had:
+                best[end], back[end] = reach, (end - length, piece)
+        path, end = [], len(word)
+        while end:
+            end, piece = back[end]
+            path.append(piece)
+        path.reverse()
+        return path
+
+    def _word(self, word: str) -> tuple[bytes, int]:
+        """A word's ids as little-endian 32-bit numbers, and how many."""
+        short = len(word) <= SHORT
+        ids = self.search_word(word) if short else list(self.search(word))
+        made = array("I", ids).tobytes(), len(ids)
+        if short:
+            if len(self.known) >= MOST_KNOWN:
+                self.known.clear()
+            self.known[word] = made
+        return made
+
     def search(self, characters: Iterable[str]) -> Iterator[int]:
         """The ids of the best segmentation, given out as soon as they are settled.
 
@@ -130,26 +191,22 @@ class Vocabulary:
 
     def encode(self, text: str) -> list[int]:
         """The ids of a text, a space mark before it and for each of its spaces."""
+        return self.encode_array(text).tolist()
+
+    def encode_array(self, text: str) -> np.ndarray:
         if not text:
-            return []
+            return np.zeros(0, dtype=np.int32)
         marked = SPACE + text.replace(" ", SPACE)
         if not self.words_part:
-            return list(self.search(marked))
+            return np.fromiter(self.search(marked), dtype=np.int32)
         # No piece reaches from a word into the marks after it, so all paths meet there.
-        out: list[int] = []
-        for word in WORD.findall(marked):
-            out += self.cached(word) if len(word) <= 64 else self.search(word)
-        return out
+        known = self.known.get
+        made = [known(word) or self._word(word) for word in self.unit.findall(marked)]
+        return np.frombuffer(b"".join([m[0] for m in made]), dtype="<i4")
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids; bytes that are not UTF-8 become replacement characters."""
-        out: list[bytes] = []
-        for i in ids:
-            if (byte := self.byte_of.get(i)) is not None:
-                out.append(bytes([byte]))
-            elif i not in self.control:
-                out.append(self.texts[i].replace(SPACE, " ").encode())
-        return b"".join(out).decode(errors="replace").removeprefix(" ")
+        return b"".join(map(self.said.__getitem__, ids)).decode(errors="replace").removeprefix(" ")
 
 
 @cache
@@ -164,8 +221,8 @@ def _encoded(batches, path: str):
         texts, part, size = batch.column(1), [], 0
         start = 0
         for i, text in enumerate(texts):
-            ids = own.encode(text.as_py() or "")
-            part.append(np.array(ids, dtype=np.int32))
+            ids = own.encode_array(text.as_py() or "")
+            part.append(ids)
             size += 4 * len(ids)
             if size >= SOFT_BYTES or i == len(texts) - 1:
                 yield pa.RecordBatch.from_arrays(
@@ -191,10 +248,10 @@ def _decoded(batches, path: str):
     for batch in batches:
         for start in range(0, len(batch), 256):
             part = batch.slice(start, 256)
-            ids = part.column("ids")
-            texts = [own.decode(i.as_py()) if i.is_valid else None for i in ids]
-            sums = [zlib.crc32(np.array(i.as_py() or [], "<u4").tobytes()) for i in ids]
-            counts = [len(i) if i.is_valid else 0 for i in ids]
+            ids = [i.values.to_numpy() if i.is_valid else None for i in part.column("ids")]
+            texts = [None if i is None else own.decode(i.tolist()) for i in ids]
+            sums = [0 if i is None else zlib.crc32(i.astype("<u4").tobytes()) for i in ids]
+            counts = [0 if i is None else len(i) for i in ids]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("id"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()),

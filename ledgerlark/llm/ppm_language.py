@@ -13,10 +13,11 @@ is bounded by the sample. After that the statistics are frozen, and every text i
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -212,8 +213,7 @@ def _predicted(batches, model: Model | None, carry: Sequence[str]):
     for batch in batches:
         texts = [t or "" for t in batch.column("text").to_pylist()]
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        letter = [LETTER.search(t) is not None for t in texts]
-        lettered = [i for i, has in enumerate(letter) if has and model is not None]
+        lettered = [i for i, t in enumerate(texts) if model is not None and LETTER.search(t)]
         if lettered:
             bits = model.text_bits([texts[i] for i in lettered])
             best = bits.argmin(axis=1)
@@ -222,16 +222,15 @@ def _predicted(batches, model: Model | None, carry: Sequence[str]):
             for i, b, s in zip(lettered, best, share, strict=True):
                 names[i], scores[i] = model.languages[b], float(s)
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in carry), pa.array(names), pa.array(scores), pa.array(letter, pa.bool_())],
-            names=[*carry, "_lang", "_score", "_letter"],
+            [*(batch.column(c) for c in carry), pa.array(names), pa.array(scores)],
+            names=[*carry, "_lang", "_score"],
         )
 
 
 def _labelled(rows: DataFrame, carry: Sequence[str], model: Model | None) -> DataFrame:
-    """The ``carry`` columns of ``rows``, which has a ``text``, with ``_lang``, ``_score`` and ``_letter``."""
+    """The ``carry`` columns of ``rows``, which has a ``text``, with ``_lang`` and ``_score``."""
     fields = [rows.schema[c] for c in carry]
     fields += [T.StructField("_lang", T.StringType()), T.StructField("_score", T.DoubleType())]
-    fields.append(T.StructField("_letter", T.BooleanType()))
     return rows.mapInArrow(lambda it: _predicted(it, model, carry), T.StructType(fields))
 
 
@@ -262,10 +261,31 @@ def identify(
     )
 
 
-def with_letters(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs``, with all columns, that ``identify`` gives a language when there is a model.
+def with_language(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs``, with all columns, that are not rejected; a null ``lang`` becomes the predicted one.
 
-    These are the rows whose ``text`` has a letter. Each row is decided for itself, also without a model.
+    Rejected are the texts that :func:`identify` calls ``und`` when there is a model: null ones and those
+    without a letter. Each row is decided for itself, also without a model; then a null ``lang`` stays. Only
+    the text goes to Python. Other columns may have any names.
     """
     model = fit(docs.where(~held_out(id_col)), "text", lang_col)
-    return _labelled(docs, docs.columns, model).where("_letter").select(docs.columns)
+
+    def predicted(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for column in columns:
+            texts = [t or "" for t in column]
+            letter = [LETTER.search(t) is not None for t in texts]
+            names: list[str | None] = [None] * len(texts)
+            lettered = [i for i, has in enumerate(letter) if has and model is not None]
+            if lettered:
+                best = model.text_bits([texts[i] for i in lettered]).argmin(axis=1)
+                for i, b in zip(lettered, best, strict=True):
+                    names[i] = model.languages[b]
+            yield pd.DataFrame({"language": pd.Series(names, dtype=object), "letter": letter})
+
+    told = F.pandas_udf(predicted, "language string, letter boolean")
+    name = "_told"
+    while name in docs.columns:
+        name += "_"
+    # Not deterministic for the planner only: a filter on its result would be worked out a second time.
+    rows = docs.withColumn(name, told.asNondeterministic()("text")).where(F.col(f"{name}.letter"))
+    return rows.withColumn(lang_col, F.coalesce(lang_col, f"{name}.language")).select(docs.columns)

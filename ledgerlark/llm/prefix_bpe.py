@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MOST_KNOWN = 300_000
+MOST_KNOWN = 200_000
 LONGEST_KNOWN = 100
 SLICE = 1 << 20
 FLUSH = 8 << 20
@@ -55,9 +55,12 @@ def byte_letters() -> list[str]:
 
 
 class PrefixEncoder:
-    """Encoder and decoder of the byte-level vocabulary with word ends stored at ``path``."""
+    """Encoder and decoder of the byte-level vocabulary with word ends stored at ``path``.
 
-    def __init__(self, path: str, most_known: int = MOST_KNOWN):
+    ``texts=False`` leaves the decoded texts out.
+    """
+
+    def __init__(self, path: str, most_known: int = MOST_KNOWN, texts: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import ahocorasick
         from tokenizers import Tokenizer
@@ -118,7 +121,7 @@ class PrefixEncoder:
         self.unusual, self.piece = re.compile(UNUSUAL_WORD), re.compile(USUAL_PIECE)
         longest_first = sorted(self.added, key=len, reverse=True)
         self.added_pattern = re.compile("|".join(map(re.escape, longest_first)) or r"(?!)")
-        self.most_known = most_known
+        self.most_known, self.texts = most_known, texts
         self.pieces: dict[str, tuple[bytes, bytes]] = {}
         self.edges: dict[tuple[int, int], list[tuple[int, float]]] = {}
         self.whole: dict[int, bool] = {}
@@ -202,7 +205,7 @@ class PrefixEncoder:
         return b"".join([self.names[i] for i in ids if i < most])
 
     def _result(self, ids: list[int]) -> tuple[bytes, bytes]:
-        return array("I", ids).tobytes(), self.decode_ids(ids)
+        return array("I", ids).tobytes(), self.decode_ids(ids) if self.texts else b""
 
     def _piece(self, piece: str) -> tuple[bytes, bytes]:
         """Result of a piece as it stands in a text."""
@@ -246,20 +249,26 @@ class PrefixEncoder:
                 end += 1
             made = self._slice(data[start:end].decode(errors="replace"))
             ids.append(b"".join([m[0] for m in made]))
-            texts.append(b"".join([m[1] for m in made]))
+            if self.texts:
+                texts.append(b"".join([m[1] for m in made]))
             start = end
         return b"".join(ids), b"".join(texts)[:-1]
 
 
-_ENCODERS: dict[str, PrefixEncoder] = {}
+    def ids(self, data: bytes) -> np.ndarray:
+        """Ids of a UTF-8 text."""
+        return np.frombuffer(self.round_trip(data)[0], dtype="<u4")
+
+
+_ENCODERS: dict[tuple[str, bool], PrefixEncoder] = {}
 
 
-def _encoder(path: str) -> PrefixEncoder:
-    """The worker's encoder; another vocabulary takes the place of the last one."""
-    if path not in _ENCODERS:
+def encoder(path: str, texts: bool = True) -> PrefixEncoder:
+    """The worker's encoder; another one takes the place of the last."""
+    if (path, texts) not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path] = PrefixEncoder(path)
-    return _ENCODERS[path]
+        _ENCODERS[path, texts] = PrefixEncoder(path, texts=texts)
+    return _ENCODERS[path, texts]
 
 
 def _flushed(rows: Iterator[tuple], types: list[pa.DataType], names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -300,7 +309,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trip = _encoder(path).round_trip
+        trip = encoder(path).round_trip
         rows = ((key, *trip(data)) for key, data in _rows(batches))
         return _flushed(rows, [pa.int64(), pa.binary(), pa.string()], ["id", "ids", "decoded"])
 
@@ -312,7 +321,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     rows = encoded.select(F.col(id_col).cast("long").alias("id"), "ids")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text = _encoder(path).decode_ids
+        text = encoder(path).decode_ids
         rows = ((key, text(np.frombuffer(data, "<u4").tolist())[:-1]) for key, data in _rows(batches))
         return _flushed(rows, [pa.int64(), pa.string()], ["id", "decoded"])
 

@@ -9,17 +9,19 @@ import pyarrow as pa
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 MASK = (1 << 64) - 1
+MOST_KEPT = 1 << 20
 
 _POWERS: dict[str, np.ndarray] = {}
 
 
 def _powers(name: str, base: int, n: int) -> np.ndarray:
-    """``base ** 0 .. base ** (n - 1)`` modulo 2**64, kept for the life of the worker."""
+    """``base ** 0 .. base ** (n - 1)`` modulo 2**64; the worker keeps up to ``MOST_KEPT`` of them."""
     have = _POWERS.get(name)
     if have is None or len(have) < n:
         out = np.ones(max(n, 1 << 16), dtype=np.uint64)
         out[1:] = np.uint64(base)
-        have = _POWERS[name] = np.multiply.accumulate(out)
+        have = np.multiply.accumulate(out)
+        _POWERS[name] = have[:MOST_KEPT].copy() if len(have) > MOST_KEPT else have
     return have[:n]
 
 

@@ -3,6 +3,9 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 
 
@@ -51,3 +54,46 @@ def test_without_labels_only_texts_without_letters_go(spark):
     kept = corpus_pipeline.language_id(spark, docs, "")
     assert kept.columns == docs.columns
     assert sorted(r.text for r in kept.collect()) == ["other words", "some words"]
+
+
+def test_a_missing_language_is_filled_in(make, spark):
+    words = {"en": "the of and that with", "de": "der und nicht mit auf", "fr": "les des dans pour une"}
+    rng = random.Random(7)
+    rows = [
+        (i, " ".join(rng.choices(words[lang].split(), k=30)), lang if i % 4 else None)
+        for i, lang in enumerate(list(words) * 30)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = {i: list(words)[i % 3] for i, *_ in rows}
+    assert {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, docs, "").collect()} == want
+
+
+NAMES = ("row", "row_", "_row", "_told", "kept", "n_bytes", "n_removed", "n_spans", "k", "r", "dg", "c0", "_c0",
+         "id", "ids", "language", "letter", "_lang", "_score", "mark", "recipe", "component_id", "points", "h")
+
+
+@pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES[:-1]])
+def test_columns_of_any_name_pass_through(make, spark, stage):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(4)]
+    rows = [(1, texts[0]), (2, texts[0]), (3, texts[1] + " more"), (4, texts[1]), (5, None), (6, "9"),
+            (7, texts[2] + texts[3]), (8, "a" + texts[3])]
+    docs = make(rows)
+    plain = {r.doc_id: r.text for r in stage(spark, docs, "").collect()}
+    wide = docs.select(*(F.concat(F.lit("x"), F.col("doc_id")).alias(n) for n in NAMES), "*")
+    got = stage(spark, wide, "")
+    assert got.columns == wide.columns
+    found = got.collect()
+    assert {r.doc_id: r.text for r in found} == plain
+    assert all(r[n] == f"x{r.doc_id}" for r in found for n in NAMES)
+
+
+def test_empty_table_and_packing_of_what_is_left(make, spark):
+    docs = make([])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.collect() == []
+    assert corpus_pipeline.packing(spark, docs, "").collect() == []
+    some = make([(1, "one two three"), (2, "one two"), (None, "x")])
+    packed = corpus_pipeline.packing(spark, some, "").collect()
+    assert sorted(r.length for r in packed) == [2, 3, 4] and len({r.sequence_id for r in packed}) == 1

@@ -6,6 +6,8 @@ that repeat an id.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,42 +16,61 @@ from ledgerlark.llm.queries import WORD_TOKENIZER
 from ledgerlark.sources.scratch import materialize
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number per row, written, so that every reading sees the same numbers."""
-    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``docs`` has."""
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
-def _rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose number is in ``kept``."""
-    return docs.join(kept, "_row", "left_semi").drop("_row")
+def _kept(docs: DataFrame, choose: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The rows of ``docs`` that ``choose`` keeps, told apart by a number that is written with them."""
+    row = _free(docs, "row")
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    plain = numbered.select("doc_id", "text", F.col(row).alias("row"))
+    kept = choose(plain, "row").select(F.col("row").alias(row))
+    return numbered.join(kept, row, "left_semi").select(docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without text or without a letter go, and only these, also when there is no model."""
-    return ppm_language.with_letters(docs)
+    """Documents that have no language go: null texts and texts without a letter, and only these.
+
+    A null ``lang`` becomes the predicted language. Rows are decided each for itself.
+    """
+    return ppm_language.with_language(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are equal but for white space, one row stays."""
-    docs = _numbered(docs)
-    return _rows(docs, chunk_recipes.kept_rows(docs, "_row")).select(docs.columns[:-1])
+    """Of documents that are equal but for white space, one row stays.
+
+    Null counts as empty text; rows that repeat an id are rows of their own.
+    """
+    return _kept(docs, chunk_recipes.kept_rows)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, one row stays, of the smallest id."""
-    docs = _numbered(docs)
-    return _rows(docs, bbit_minhash.kept_rows(docs, "_row")).select(docs.columns[:-1])
+    """Of each group of near duplicates, one row stays, of the smallest id.
+
+    Null and empty texts are alike to none; rows that repeat an id are rows of their own.
+    """
+    return _kept(docs, bbit_minhash.kept_rows)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 100 bytes that stand earlier in the corpus go; a document without text left goes too."""
-    carry = [c for c in docs.columns if c not in ("doc_id", "text")]
-    cut = suffix_dedup.remove_repeats(docs, carry=carry, whole_characters=True)
+    """Passages of 100 bytes that stand earlier in the corpus go; a document without text left goes too.
+
+    ``n_chars`` follows the text. Other columns are carried along under names of their own; of rows that
+    are equal in id and text the operator keeps the first.
+    """
+    others = {c: f"_c{i}" for i, c in enumerate(c for c in docs.columns if c not in ("doc_id", "text"))}
+    renamed = docs.select("doc_id", "text", *(F.col(c).alias(n) for c, n in others.items()))
+    cut = suffix_dedup.remove_repeats(renamed, carry=list(others.values()), whole_characters=True)
     text = F.col("kept").cast("string")
-    cut = cut.where((F.col("n_removed") == 0) | (F.trim(text) != "")).withColumn("text", text)
-    if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(docs.columns)
+    cut = cut.where((F.col("n_removed") == 0) | (F.trim(text) != ""))
+    if "n_chars" in others:
+        cut = cut.withColumn(others["n_chars"], F.length(text).cast(docs.schema["n_chars"].dataType))
+    back = {**{c: F.col(n) for c, n in others.items()}, "doc_id": F.col("doc_id"), "text": text}
+    return cut.select(*(back[c].alias(c) for c in docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

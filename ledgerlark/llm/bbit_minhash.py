@@ -36,6 +36,7 @@ BITS = 4
 PERCENT = 75
 MAP_LONGS = 16
 NO_ID = -(1 << 63)
+HOT_SHARE = 1000
 
 
 def least_matches(minima: int, bits: int, percent: int, deviations: float = 5.0) -> int:
@@ -143,6 +144,18 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     return materialize(linked.select("u", "v").distinct(), "confirmed")
 
 
+def _with_rep(rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """``rows`` with the ``rep`` of their ``mark``; a mark of many rows gets it without a shuffle.
+
+    Fewer than ``HOT_SHARE`` marks can have more than that share of all rows, so the broadcast is bounded.
+    """
+    least = F.ceil(reps.agg(F.sum("copies").alias("n")).select(F.col("n") / F.lit(HOT_SHARE)).scalar())
+    hot = reps.where((F.col("copies") > 1) & (F.col("copies") > least)).select("mark", F.col("rep").alias("hot_rep"))
+    met = rows.join(F.broadcast(hot), "mark", "left")
+    rest = met.where(F.col("hot_rep").isNull()).drop("hot_rep").join(reps.select("mark", "rep"), "mark")
+    return met.where(F.col("hot_rep").isNotNull()).withColumnRenamed("hot_rep", "rep").unionByName(rest)
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -170,31 +183,30 @@ def near_duplicates(
         lambda it: _signed(it, signer, size),
         "id long, n long, mark binary, bands array<bigint>, packed array<bigint>, map array<bigint>",
     )
-    signed = materialize(signed, "signatures")
-    reps = signed.where("n > 0").groupBy("mark").agg(F.min("id").alias("rep"))
-    # Equal marks have equal bands, so any row of the smallest id with that mark serves.
-    members = materialize(
-        signed.where("n > 0").select("id", "mark").join(reps, "mark").select("id", "rep", "mark"), "members"
-    )
-    heads = signed.join(
-        reps.select("mark", F.col("rep").alias("id")), ["mark", "id"], "left_semi"
-    ).dropDuplicates(["mark", "id"])
-    words = -(-minima // 64) * bits
-    entries = heads.select(
-        "id", F.posexplode("bands").alias("band", "h"), *(F.col("packed")[i].alias(f"s{i}") for i in range(words))
+    signed = materialize(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
+    # Equal marks have equal bands, so one row speaks for them all.
+    sets = signed.where("n > 0")
+    reps = sets.groupBy("mark").agg(F.min(F.struct("id", "row")).alias("first"), F.count("*").alias("copies"))
+    reps = materialize(reps.select("mark", "copies", F.col("first.id").alias("rep"), F.col("first.row").alias("row")), "reps")
+    members = materialize(_with_rep(sets.select("id", "mark"), reps).select("id", "rep"), "members")
+    names, maps_of = [f"s{i}" for i in range(-(-minima // 64) * bits)], [f"m{i}" for i in range(MAP_LONGS)]
+    heads = sets.join(reps.select("row"), "row", "left_semi").select(
+        "id", "n", "bands", *(F.col("packed")[i].alias(c) for i, c in enumerate(names)),
+        *(F.col("map")[i].alias(c) for i, c in enumerate(maps_of)),
     )
-    # Buckets of one document propose nothing.
-    crowded = entries.groupBy("band", "h").agg(F.min("id").alias("pivot"), F.max("id").alias("last"))
-    crowded = crowded.where("pivot < last").select("band", "h", "pivot")
-    entries = materialize(entries.join(crowded, ["band", "h"]), "bucket_entries")
-    names = [f"s{i}" for i in range(words)]
+    heads = materialize(heads, "heads")
+    # A band's number is part of its hash. Buckets of one document propose nothing.
+    entries = heads.select("id", F.explode("bands").alias("h"))
+    crowded = entries.groupBy("h").agg(F.min("id").alias("pivot"), F.max("id").alias("last"))
+    crowded = crowded.where("pivot < last").select("h", "pivot")
+    entries = materialize(entries.join(crowded, "h"), "bucket_entries")
     fewest = least_matches(minima, bits, percent)
 
-    pivots = entries.where("id = pivot").select(
-        "pivot", *(F.col(n).alias(f"p{n}") for n in names)
-    ).distinct()
-    proposed = entries.where("id > pivot").select("id", "pivot", *names).distinct().join(pivots, "pivot")
-    agreeing = matches([F.col(n) for n in names], [F.col(f"p{n}") for n in names], minima, bits)
+    # Pairs are made of ids, and get their signatures once each; an id of several texts brings all of them.
+    pairs = entries.where("id > pivot").select("id", "pivot").distinct()
+    pivots = heads.select(F.col("id").alias("pivot"), *(F.col(c).alias(f"p_{c}") for c in names))
+    proposed = pairs.join(heads.select("id", *names), "id").join(pivots, "pivot")
+    agreeing = matches([F.col(c) for c in names], [F.col(f"p_{c}") for c in names], minima, bits)
     best = (
         proposed.withColumn("agree", agreeing)
         .where(F.col("agree") >= fewest)
@@ -202,31 +214,28 @@ def near_duplicates(
         .agg(F.max(F.struct("agree", F.bitwise_not("pivot").alias("no"))).alias("best"))
         .select(F.col("id").alias("u"), F.bitwise_not("best.no").alias("v"))
     )
-    first = _confirmed(materialize(best, "best_pivots"), texts, size, percent)
+    best = materialize(best, "best_pivots")
+    first = _confirmed(best, texts, size, percent)
     same_id = members.where("id > rep").select(F.col("id").alias("u"), F.col("rep").alias("v")).distinct()
     stars = components(first.unionByName(same_id))
 
     # What is still apart within a bucket.
     root = stars.select(F.col("u").alias("id"), F.col("v").alias("root"))
-    placed = entries.join(root, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = placed.groupBy("band", "h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    mixed = mixed.where("lo < hi").select("band", "h")
-    # An id of several texts gets the bitmap of each beside every entry, the right one among them.
-    maps_of = [f"m{i}" for i in range(MAP_LONGS)]
-    maps = signed.where("n > 0").select("id", "n", *(F.col("map")[i].alias(m) for i, m in enumerate(maps_of)))
-    apart = placed.join(mixed, ["band", "h"], "left_semi").drop("pivot")
-    apart = materialize(apart, "mixed_buckets")
-    maps = maps.join(apart.select("id").distinct(), "id", "left_semi").distinct()
-    apart = apart.join(maps, "id").withColumn("spare", spare(F.col("n"), [F.col(m) for m in maps_of]))
+    placed = entries.select("id", "h").join(root, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    mixed = mixed.where("lo < hi").select("h")
+    apart = materialize(placed.join(mixed, "h", "left_semi"), "mixed_buckets")
+    signs = heads.drop("bands").join(apart.select("id").distinct(), "id", "left_semi")
+    apart = apart.join(signs, "id").withColumn("spare", spare(F.col("n"), [F.col(m) for m in maps_of]))
     apart = materialize(apart, "mapped_buckets")
-    left = apart.select("band", "h", *(F.col(n).alias(f"l_{n}") for n in ("id", "root", "n", "spare", *names, *maps_of)))
+    left = apart.select("h", *(F.col(n).alias(f"l_{n}") for n in ("id", "root", "n", "spare", *names, *maps_of)))
     agreeing = matches([F.col(n) for n in names], [F.col(f"l_{n}") for n in names], minima, bits)
     possible = may_reach(
         [F.col(n) for n in maps_of], [F.col(f"l_{n}") for n in maps_of], F.col("n"), F.col("l_n"),
         F.col("spare"), F.col("l_spare"), percent,
     )
     late = (
-        left.join(apart, ["band", "h"])
+        left.join(apart, "h")
         .where((F.col("l_root") < F.col("root")) & (agreeing >= fewest) & possible)
         .select(F.greatest("id", "l_id").alias("u"), F.least("id", "l_id").alias("v"))
         .distinct()

@@ -21,7 +21,7 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -62,7 +62,6 @@ class PrefixEncoder:
 
     def __init__(self, path: str, most_known: int = MOST_KNOWN, texts: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import ahocorasick
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
@@ -78,8 +77,27 @@ class PrefixEncoder:
         ):
             raise ValueError(f"unsupported kind of vocabulary: {path}")
 
-        vocabulary: dict[str, int] = model["vocab"]
         self.letters = byte_letters()
+        self._learn(path, model, last)
+
+        names = {i: t for t, i in model["vocab"].items()}
+        self.added = {t["content"]: t["id"] for t in stored["added_tokens"]}
+        names |= {i: t for t, i in self.added.items()}
+        self.names = [f"{names[i]} ".encode() if i in names else b"" for i in range(max(names) + 1)]
+
+        tokenizer = Tokenizer.from_file(path)
+        self.normalizer, self.cutter, self.model = tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.model
+        self.unusual, self.piece = re.compile(UNUSUAL_WORD), re.compile(USUAL_PIECE)
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.added_pattern = re.compile("|".join(map(re.escape, longest_first)) or r"(?!)")
+        self.most_known, self.texts = most_known, texts
+        self.pieces: dict[str, tuple[bytes, bytes]] = {}
+
+    def _learn(self, path: str, model: dict, last: str) -> None:
+        """Symbols, merge rules and the automaton over all tokens."""
+        import ahocorasick
+
+        vocabulary: dict[str, int] = model["vocab"]
         self.symbols: dict[int, str] = {}
         for letter in self.letters:
             self.symbols[vocabulary[letter]] = letter
@@ -110,19 +128,6 @@ class PrefixEncoder:
             # With what is known of the tokens it may follow.
             self.matches.add_word(symbols, (token, len(symbols), {}))
         self.matches.make_automaton()
-
-        names = {i: t for t, i in vocabulary.items()}
-        self.added = {t["content"]: t["id"] for t in stored["added_tokens"]}
-        names |= {i: t for t, i in self.added.items()}
-        self.names = [f"{names[i]} ".encode() if i in names else b"" for i in range(max(names) + 1)]
-
-        tokenizer = Tokenizer.from_file(path)
-        self.normalizer, self.cutter = tokenizer.normalizer, tokenizer.pre_tokenizer
-        self.unusual, self.piece = re.compile(UNUSUAL_WORD), re.compile(USUAL_PIECE)
-        longest_first = sorted(self.added, key=len, reverse=True)
-        self.added_pattern = re.compile("|".join(map(re.escape, longest_first)) or r"(?!)")
-        self.most_known, self.texts = most_known, texts
-        self.pieces: dict[str, tuple[bytes, bytes]] = {}
         self.edges: dict[tuple[int, int], list[tuple[int, float]]] = {}
         self.whole: dict[int, bool] = {}
 
@@ -260,15 +265,56 @@ class PrefixEncoder:
         return np.frombuffer(self.round_trip(data)[0], dtype="<u4")
 
 
-_ENCODERS: dict[tuple[str, bool], PrefixEncoder] = {}
+class _Known(dict):
+    """Ids of pieces, made when first asked for; emptied when full."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        self.make, self.most = make, most
+
+    def __missing__(self, piece: str) -> bytes:
+        made = self.make(piece)
+        if len(piece) <= LONGEST_KNOWN:
+            if len(self) >= self.most:
+                self.clear()
+            self[piece] = made
+        return made
+
+
+class LibraryEncoder(PrefixEncoder):
+    """The same cutting into pieces, with each piece's ids from the library's own model; no decoded texts."""
+
+    def __init__(self, path: str, most_known: int = MOST_KNOWN):
+        super().__init__(path, most_known, texts=False)
+        self.odd = re.compile(f"[^{GAP}{USUAL}]")
+        self.known = _Known(lambda piece: self._piece(piece)[0], most_known)
+
+    def _learn(self, path: str, model: dict, last: str) -> None:
+        """Nothing: the library knows the merge rules."""
+
+    def encode_piece(self, letters: str) -> list[int]:
+        """Ids of one piece, given in byte letters."""
+        return [token.id for token in self.model.tokenize(letters)]
+
+    def _piece(self, piece: str) -> tuple[bytes, bytes]:
+        letters = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        return self._result(self.encode_piece(letters))
+
+    def _usual(self, text: str) -> list[tuple[bytes, bytes]]:
+        return [(b"".join(map(self.known.__getitem__, self.piece.findall(text.lower()))), b"")]
+
+    def _any(self, text: str) -> list[tuple[bytes, bytes]]:
+        return super()._any(text) if self.odd.search(text) else self._usual(text)
+
+
+_ENCODERS: dict[tuple[str, type[PrefixEncoder]], PrefixEncoder] = {}
 
 
-def encoder(path: str, texts: bool = True) -> PrefixEncoder:
-    """The worker's encoder; another one takes the place of the last."""
-    if (path, texts) not in _ENCODERS:
+def encoder(path: str, kind: type[PrefixEncoder] = PrefixEncoder) -> PrefixEncoder:
+    """The worker's encoder; another one takes the place of the last. The library's makes ids only."""
+    if (path, kind) not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path, texts] = PrefixEncoder(path, texts=texts)
-    return _ENCODERS[path, texts]
+        _ENCODERS[path, kind] = kind(path)
+    return _ENCODERS[path, kind]
 
 
 def _flushed(rows: Iterator[tuple], types: list[pa.DataType], names: list[str]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.numbering import number_within, parts_for
-from ledgerlark.llm.prefix_bpe import encoder
+from ledgerlark.llm.prefix_bpe import LibraryEncoder, encoder
 from ledgerlark.sources.scratch import materialize
 
 CAPACITY = 2048
@@ -90,7 +90,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> dict[int, list[tup
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
     names = ["id", "piece", "start", "length", "ids_crc32"]
-    encode = encoder(path, texts=False).ids
+    encode = encoder(path, LibraryEncoder).ids
     for batch in batches:
         ids, pieces, starts, lengths, sums = [], [], [], [], []
         for key, text in zip(batch.column(0), batch.column(1), strict=True):

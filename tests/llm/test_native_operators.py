@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,3 +83,41 @@ def test_packing_has_no_gap_and_no_overflow(awkward, make):
     assert sum(r.length for r in out) == total
     assert len(places) <= -(-total // 2048) + 1
     assert slack_packing.pack(make([]), WORD_TOKENIZER).collect() == []
+
+
+def test_packing_against_the_fewest_bins():
+    """Bins of the plan against the fewest possible, found by trying all ways of placing few pieces."""
+
+    def fewest(pieces, room):
+        best = len(pieces)
+
+        def place(at, bins):
+            nonlocal best
+            if len(bins) >= best:
+                return
+            if at == len(pieces):
+                best = len(bins)
+                return
+            for i in range(len(bins)):
+                if bins[i] + pieces[at] <= room:
+                    place(at + 1, [*bins[:i], bins[i] + pieces[at], *bins[i + 1 :]])
+            place(at + 1, [*bins, pieces[at]])
+
+        place(0, [])
+        return best
+
+    rng, more = random.Random(4), 0
+    for _ in range(150):
+        pieces = sorted(rng.choices(range(1, 21), k=rng.randrange(1, 10)), reverse=True)
+        made = slack_packing.plan(Counter(pieces), 20)
+        bins, placed = defaultdict(int), 0
+        for length, rows in made.items():
+            n = pieces.count(length)
+            for (rank, first, per, _), until in zip(rows, [*(r[0] for r in rows[1:]), n], strict=True):
+                for nth in range(until - rank):
+                    bins[first + nth // per] += length
+                    placed += 1
+        assert placed == len(pieces) and max(bins.values()) <= 20
+        more += len(bins) - fewest(pieces, 20)
+    # The method is a greedy one: now and then it opens a bin more.
+    assert 0 <= more <= 5

@@ -127,3 +127,9 @@ def test_query_over_the_whole_table(spark, library):
         text = library.decode(ids, skip_special_tokens=False)
         digests = hashlib.sha256(data).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
         assert got[r.doc_id] == (len(ids), *digests)
+
+
+def test_library_pieces_equal_the_library(library):
+    made = prefix_bpe.LibraryEncoder(WORD_TOKENIZER, most_known=50)
+    for text in [*random_texts(random.Random(8)), "a<|endoftext|>b", "<|endoftext", "", " \n"]:
+        assert made.ids(text.encode()).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)

@@ -1,5 +1,13 @@
-from small_tables import rows
+from pyspark.sql import functions as F
+
+from ledgerlark.functions.keys import packed, unpacked
 from ledgerlark.operators import quality as Q
+from ledgerlark.sources.scratch import materialize
+from small_tables import rows
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def keyed(spark, *keys):
@@ -75,3 +83,31 @@ def test_prefix_and_equal(spark):
     df = keyed(spark, "abc", "abd", "x")
     assert rows(Q.filter_key_prefix(df, "ab"), "member_id") == [("abc",), ("abd",)]
     assert rows(Q.filter_key_equals(df, "x", "member_id"), "member_id") == [("x",)]
+
+
+def test_members_are_counted_once_for_several_tables(spark):
+    t = three(spark)
+    t["customers"] = t["customers"].union(keyed(spark, None))
+    stored = materialize(Q.repeated_members(t), "repeated")
+    for name in t:
+        new = Q.without_repeated(name, t, repeated=stored)
+        assert rows(new) == rows(Q.without_repeated(name, t))
+        # Of the tables only the named one is read, and its rows are not shuffled.
+        assert len(new.inputFiles()) == len(stored.inputFiles())
+        assert "hashpartitioning(member_id" not in plan(new)
+    null_twice = {**t, "delinq": keyed(spark, None, None)}
+    stored = materialize(Q.repeated_members(null_twice), "repeated")
+    assert rows(Q.without_repeated("detail", null_twice, repeated=stored)) == []
+
+
+def test_members_are_packed_in_the_shuffle(spark):
+    ids = ["ab01" * 16, "AB01", "abc", "", "zz", "00", "é", "\x01", None]
+    df = spark.createDataFrame([(k,) for k in ids], "member_id string")
+    value = packed(F.col("member_id"))
+    got = df.select("member_id", F.octet_length(value).alias("n"), unpacked(value).alias("back")).collect()
+    assert [r.back for r in got] == ids
+    assert (got[0].n, got[-1].n) == (33, None)
+    counts = Q.member_row_counts({"one": df, "two": df.where("member_id > 'a'").union(df)})
+    assert rows(counts, "member_id", "one", "two") == rows(
+        df.selectExpr("member_id", "1 AS one", "CASE WHEN member_id > 'a' THEN 2 ELSE 1 END AS two")
+    )

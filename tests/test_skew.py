@@ -136,3 +136,11 @@ def test_null_keys_as_in_not_in(spark):
     listed = spark.createDataFrame([("b",)], "k string")
     assert rows(W.anti_join(df, listed, "k")) == [("a",)]
     assert rows(W.anti_join(df, listed.limit(0), "k")) == [(None,), ("a",)]
+
+
+def test_heavy_keys_shuffle_hashes(spark):
+    df = spark.range(1000).selectExpr("IF(id < 500, 'hot', concat('k', id)) AS k", "id AS v")
+    limits = SkewLimits(max_keys=10, min_rows=100)
+    assert [tuple(r) for r in W.heavy_keys(df, "k", limits).collect()] == [("hot", 500, 5)]
+    text = W.heavy_keys(df, "k", limits)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_hash" in text

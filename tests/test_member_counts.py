@@ -83,3 +83,10 @@ def test_null_members_go_as_with_not_in(spark):
     assert rows(Q.without_repeated("one", {"one": one, "two": two.limit(1)})) == [(None, 2), ("a", 1)]
     assert rows(Q.without_repeated("one", {"one": one, "two": two})) == [("a", 1)]
     assert rows(Q.without_repeated("one", {"one": one.union(one.where("v = 2")), "two": two})) == []
+
+
+def test_states_shuffle_packed_members(raw, counts):
+    for df in (N.file_state(raw), N.member_counts(N.file_state(raw))):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "unhex(" in text.split("Exchange")[-1]
+    assert all(len(r.member_id) == 64 for r in counts.select("member_id").limit(50).collect())

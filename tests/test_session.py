@@ -52,3 +52,10 @@ def test_settings_of_a_larger_input_do_not_stay(spark):
     tune(spark, MB)
     assert spark.conf.get(SCAN_BYTES) == "134217728b"
     assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+
+
+def test_stored_member_ids_take_half_their_text(spark, tmp_path):
+    ids = spark.range(20_000).selectExpr("sha2(cast(id AS string), 256) AS member_id")
+    tune(spark)
+    ids.coalesce(1).write.parquet(str(tmp_path / "ids"))
+    assert stored_bytes(spark, str(tmp_path / "ids")) < 20_000 * 48

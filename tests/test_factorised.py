@@ -104,3 +104,13 @@ def test_view_over_a_stored_table(spark, stored):
 def test_a_slice_has_rows(spark):
     with pytest.raises(ValueError, match="slice"):
         X.factorised(tables(spark, SMALL), 0)
+
+
+def test_first_and_further_arrays_share_their_shuffles(spark, tables):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = X.factorised(tables, 20)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    dealt = [line for line in text.splitlines() if "_deal" in line and "hashpartitioning(" in line]
+    assert len([line for line in dealt if "ReusedExchange" not in line]) == len(X.SIDES)

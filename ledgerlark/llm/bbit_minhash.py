@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.components import components
+from ledgerlark.llm.membership import among, without
 from ledgerlark.llm.shingles import SHINGLE, Signer, digest, shingle_set
 from ledgerlark.sources.scratch import materialize
 
@@ -37,6 +38,8 @@ PERCENT = 75
 MAP_LONGS = 16
 NO_ID = -(1 << 63)
 HOT_SHARE = 1000
+# Rows of whole texts that a task holds at a time on their way to Python.
+BATCH_ROWS = 1000
 
 
 def least_matches(minima: int, bits: int, percent: int, deviations: float = 5.0) -> int:
@@ -132,10 +135,10 @@ def _sets(batches, size: int):
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``(u, v)`` whose full sets reach the threshold."""
     needed = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
-    sets = texts.join(needed, "id", "left_semi").mapInArrow(
+    sets = among(texts, materialize(needed, "needed"), "id").mapInArrow(
         lambda it: _sets(it, size), "id long, hashes array<bigint>"
     )
-    sets = materialize(sets, "shingle_sets")
+    sets = materialize(sets, "shingle_sets", BATCH_ROWS)
     a = sets.select(F.col("id").alias("u"), F.col("hashes").alias("a"))
     b = sets.select(F.col("id").alias("v"), F.col("hashes").alias("b"))
     both = F.size(F.array_intersect("a", "b")).cast("long")
@@ -183,14 +186,15 @@ def near_duplicates(
         lambda it: _signed(it, signer, size),
         "id long, n long, mark binary, bands array<bigint>, packed array<bigint>, map array<bigint>",
     )
-    signed = materialize(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
+    signed = materialize(signed.withColumn("row", F.monotonically_increasing_id()), "signatures", BATCH_ROWS)
     # Equal marks have equal bands, so one row speaks for them all.
     sets = signed.where("n > 0")
     reps = sets.groupBy("mark").agg(F.min(F.struct("id", "row")).alias("first"), F.count("*").alias("copies"))
     reps = materialize(reps.select("mark", "copies", F.col("first.id").alias("rep"), F.col("first.row").alias("row")), "reps")
     members = materialize(_with_rep(sets.select("id", "mark"), reps).select("id", "rep"), "members")
     names, maps_of = [f"s{i}" for i in range(-(-minima // 64) * bits)], [f"m{i}" for i in range(MAP_LONGS)]
-    heads = sets.join(reps.select("row"), "row", "left_semi").select(
+    copies = materialize(sets.select("row").join(reps.select("row"), "row", "left_anti"), "copies")
+    heads = without(sets, copies, "row").select(
         "id", "n", "bands", *(F.col("packed")[i].alias(c) for i, c in enumerate(names)),
         *(F.col("map")[i].alias(c) for i, c in enumerate(maps_of)),
     )
@@ -225,7 +229,7 @@ def near_duplicates(
     mixed = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     mixed = mixed.where("lo < hi").select("h")
     apart = materialize(placed.join(mixed, "h", "left_semi"), "mixed_buckets")
-    signs = heads.drop("bands").join(apart.select("id").distinct(), "id", "left_semi")
+    signs = among(heads.drop("bands"), materialize(apart.select("id").distinct(), "mixed_ids"), "id")
     apart = apart.join(signs, "id").withColumn("spare", spare(F.col("n"), [F.col(m) for m in maps_of]))
     apart = materialize(apart, "mapped_buckets")
     left = apart.select("h", *(F.col(n).alias(f"l_{n}") for n in ("id", "root", "n", "spare", *names, *maps_of)))

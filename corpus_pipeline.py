@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import bbit_minhash, chunk_recipes, ppm_language, slack_packing, suffix_dedup
+from ledgerlark.llm.membership import without
 from ledgerlark.llm.queries import WORD_TOKENIZER
 from ledgerlark.sources.scratch import materialize
 
@@ -29,7 +30,8 @@ def _kept(docs: DataFrame, choose: Callable[[DataFrame, str], DataFrame]) -> Dat
     numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     plain = numbered.select("doc_id", "text", F.col(row).alias("row"))
     kept = choose(plain, "row").select(F.col("row").alias(row))
-    return numbered.join(kept, row, "left_semi").select(docs.columns)
+    dropped = materialize(numbered.select(row).join(kept, row, "left_anti"), "dropped")
+    return without(numbered, dropped, row).select(docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,9 +3,10 @@
 Document counts of terms, the number of documents and their mean length come from the whole corpus, so
 a shard's scores need no correction. A shard holds about ``shard_bytes`` of text: an inverted index
 with the largest contribution of each term in each block of ``BLOCK`` documents, and the documents'
-postings. A query's bound for a block is the weighted sum of those maxima; blocks are opened from the
-highest bound on, and the search ends at the first bound below the k-th score. The queries pass through
-each shard as a stream, so a task holds one shard and one batch of queries.
+postings. A query's lists are added up from its rarest term on. A document's bound is its sum so far and
+the weighted maxima of its block for the terms that are left; documents with a bound below the k-th
+largest sum are out, and when few are left, blocks that hold some are opened and these scored in full. The
+queries pass through each shard as a stream, so a task holds one shard and one batch of queries.
 """
 
 from __future__ import annotations
@@ -21,6 +22,10 @@ from ledgerlark.sources.scratch import materialize
 
 K1, B = 1.2, 0.75
 BLOCK = 32
+# Documents, times k, that are scored in full without adding up more lists first.
+FEW = 8
+# Entries of lists, times documents, that are added up first, and how many times as many at each further step.
+FIRST, MORE = 8, 3
 SHARD_BYTES = 16 << 20
 NO_ID = -(1 << 63)
 
@@ -58,6 +63,12 @@ def _query_terms(batches):
             )
 
 
+def _joined(starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the lists ``which`` one after the other, and the lists' lengths."""
+    lo, n = starts[which], starts[which + 1] - starts[which]
+    return np.arange(n.sum()) + np.repeat(lo - np.cumsum(n) + n, n), n
+
+
 class Shard:
     """The index of one shard's documents."""
 
@@ -80,6 +91,9 @@ class Shard:
         # Inverted lists of blocks: the largest impact of each term in each.
         cell = self.terms * max(1, self.blocks) + document // block
         by = np.argsort(cell, kind="stable")
+        # Inverted lists of documents, in the same order.
+        self.list_document, self.list_impact = document[by], self.impacts[by]
+        self.list_start = np.searchsorted(self.terms[by], np.arange(len(self.vocabulary) + 1))
         cells, first = np.unique(cell[by], return_index=True)
         self.maxima = np.maximum.reduceat(self.impacts[by], first) if len(first) else np.zeros(0)
         self.cell_block = cells % max(1, self.blocks)
@@ -96,38 +110,42 @@ class Shard:
         at, weights = at[here], weights[here]
         if not len(at):
             return []
-        lo, hi = self.cell_start[at], self.cell_start[at + 1]
-        n = hi - lo
-        cells = np.arange(n.sum()) + np.repeat(lo - np.cumsum(n) + n, n)
-        bounds = np.bincount(
-            self.cell_block[cells], weights=self.maxima[cells] * np.repeat(weights, n), minlength=self.blocks
-        )
-        self.weights[at] = weights
-        order = np.argsort(-bounds, kind="stable")
-        ids, scores, done, take = np.zeros(0, np.int64), np.zeros(0), 0, 2
-        while done < len(order):
-            least = scores[-1] if len(scores) == k else 0.0
-            part = order[done : done + take]
+        rare = np.argsort(self.list_start[at + 1] - self.list_start[at], kind="stable")
+        at, weights = at[rare], weights[rare]
+        lo, hi = self.list_start[at], self.list_start[at + 1]
+        ends = np.cumsum(hi - lo)
+        partial, done, most = np.zeros(len(self.ids)), 0, FIRST * len(self.ids)
+        while True:
+            # The rarest terms' lists are added up; what the others can add is bounded by block.
+            upto = max(done + 1, int(np.searchsorted(ends, most, side="right")))
+            lists = [slice(a, b) for a, b in zip(lo[done:upto].tolist(), hi[done:upto].tolist(), strict=True)]
+            partial += np.bincount(
+                np.concatenate([self.list_document[x] for x in lists]),
+                weights=np.concatenate([self.list_impact[x] * w for x, w in zip(lists, weights[done:upto], strict=True)]),
+                minlength=len(partial),
+            )
+            done, most = upto, most * MORE
+            cells, many = _joined(self.cell_start, at[done:])
+            bounds = np.bincount(
+                self.cell_block[cells], weights=self.maxima[cells] * np.repeat(weights[done:], many),
+                minlength=self.blocks,
+            )
+            possible = partial + np.repeat(bounds, self.block)[: len(partial)]
+            least = np.partition(partial, -k)[-k] if len(partial) >= k else 0.0
             # Sums in another order may differ in the last digits.
-            part = part[bounds[part] * (1 + 1e-9) >= least]
-            part = part[bounds[part] > 0]
-            if not len(part):
+            docs = np.flatnonzero((possible * (1 + 1e-9) >= least) & (possible > 0))
+            if done >= len(at) or len(docs) <= FEW * k:
                 break
-            done, take = done + take, take * 2
-            self.opened += len(part)
-            first = part * self.block
-            last = np.minimum(first + self.block, len(self.ids))
-            docs = np.concatenate([np.arange(a, b) for a, b in zip(first, last, strict=True)])
-            lo, size = self.starts[docs], self.starts[docs + 1] - self.starts[docs]
-            index = np.arange(size.sum()) + np.repeat(lo - np.cumsum(size) + size, size)
-            got = np.bincount(
-                np.repeat(np.arange(len(docs)), size),
-                weights=self.weights[self.terms[index]] * self.impacts[index], minlength=len(docs),
-            )
-            ids = np.concatenate([ids, self.ids[docs[got > 0]]])
-            scores = np.concatenate([scores, got[got > 0]])
-            best = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[best], scores[best]
+        self.opened += len(np.unique(docs // self.block))
+        self.weights[at] = weights
+        index, size = _joined(self.starts, docs)
+        got = np.bincount(
+            np.repeat(np.arange(len(docs)), size),
+            weights=self.weights[self.terms[index]] * self.impacts[index], minlength=len(docs),
+        )
+        docs, scores = docs[got > 0], got[got > 0]
+        best = np.lexsort((self.ids[docs], -scores))[:k]
+        ids, scores = self.ids[docs[best]], scores[best]
         self.weights[at] = 0.0
         return list(zip(ids.tolist(), scores.tolist(), strict=True))
 

@@ -69,3 +69,24 @@ def test_awkward_rows(awkward, make):
     assert [r.doc_id for r in sorted(out, key=lambda r: r["rank"]) if r.query_id == 5] == [None, 4, 4]
     assert block_max.top_k(make([]), make([]), 3).collect() == []
     assert block_max.top_k(awkward, make([]), 3).collect() == []
+
+
+def test_whole_texts_as_queries_open_few_blocks():
+    """Common words, which all blocks share, don't open blocks that the rare ones rule out."""
+    rng = np.random.default_rng(3)
+    lists = [(rng.zipf(1.3, 300) % 20_000).astype(np.uint64) for _ in range(1500)]
+    terms, df = np.unique(np.concatenate([np.unique(x) for x in lists]), return_counts=True)
+    idf = np.log(1 + (len(lists) - df + 0.5) / (df + 0.5))
+    index = block_max.Shard(list(range(1500)), lists, 300.0)
+    asked = [np.unique(lists[i], return_counts=True) for i in range(0, 1500, 50)]
+    asked = [(u, n * idf[np.searchsorted(terms, u)]) for u, n in asked]
+    found = [index.search(u, w, 10) for u, w in asked]
+    assert index.opened < 0.25 * index.blocks * len(asked)
+    for (u, w), got in zip(asked, found, strict=True):
+        scores = np.zeros(1500)
+        for i, x in enumerate(lists):
+            has, tf = np.unique(x, return_counts=True)
+            at = np.minimum(np.searchsorted(u, has), len(u) - 1)
+            scores[i] = (np.where(u[at] == has, w[at], 0.0) * tf * 2.2 / (tf + 1.2)).sum()
+        best = np.lexsort((np.arange(1500), -scores.round(9)))[:10]
+        assert [i for i, _ in got] == best.tolist() and [s for _, s in got] == pytest.approx(scores[best])

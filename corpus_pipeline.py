@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerlark.llm import bbit_minhash, chunk_recipes, ppm_language, slack_packing, suffix_dedup
 from ledgerlark.llm.membership import without
 from ledgerlark.llm.queries import WORD_TOKENIZER
-from ledgerlark.sources.scratch import materialize
+from ledgerlark.sources.scratch import BATCH_ROWS, materialize
 
 
 def _free(docs: DataFrame, name: str) -> str:
@@ -39,7 +39,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null ``lang`` becomes the predicted language. Rows are decided each for itself.
     """
-    return ppm_language.with_language(docs)
+    return materialize(ppm_language.with_language(docs), "languages", BATCH_ROWS)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

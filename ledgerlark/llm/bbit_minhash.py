@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ledgerlark.llm.components import components
 from ledgerlark.llm.membership import among, without
 from ledgerlark.llm.shingles import SHINGLE, Signer, digest, shingle_set
-from ledgerlark.sources.scratch import materialize
+from ledgerlark.sources.scratch import BATCH_ROWS, materialize
 
 BANDS = 32
 ROWS = 4
@@ -38,8 +38,6 @@ PERCENT = 75
 MAP_LONGS = 16
 NO_ID = -(1 << 63)
 HOT_SHARE = 1000
-# Rows of whole texts that a task holds at a time on their way to Python.
-BATCH_ROWS = 1000
 
 
 def least_matches(minima: int, bits: int, percent: int, deviations: float = 5.0) -> int:

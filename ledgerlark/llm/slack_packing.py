@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.llm.numbering import number_within, parts_for
 from ledgerlark.llm.prefix_bpe import LibraryEncoder, encoder
-from ledgerlark.sources.scratch import materialize
+from ledgerlark.sources.scratch import BATCH_ROWS, materialize
 
 CAPACITY = 2048
 END_ID = 0
@@ -149,7 +149,7 @@ def pack(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")
     )
     pieces = texts.mapInArrow(lambda it: _pieces(it, tokenizer_path, capacity), PIECES)
-    pieces = materialize(pieces, "pieces")
+    pieces = materialize(pieces, "pieces", BATCH_ROWS)
     # At most ``capacity`` rows, whatever the corpus' size.
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     made = plan(counts, capacity)

@@ -31,11 +31,11 @@ from pyspark.sql import types as T
 
 from ledgerlark.llm.suffix_sort import rank_windows
 from ledgerlark.llm.text_bytes import flat, mix, prefix_sums, range_hashes
-from ledgerlark.sources.scratch import materialize
+from ledgerlark.sources.scratch import BATCH_ROWS, materialize
 
 WINDOW = 100
 ANCHOR = 32
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 GROUP_BYTES = 8 << 20
 
 # A document is its id and 128 bits of its text's digest; the digest also orders the texts of one id.
@@ -391,7 +391,7 @@ def remove_repeats(
     found = keyed.select("dg", "k", "r", "text").mapInArrow(
         lambda it: _send_contexts(it, parts, window, anchor), CONTEXTS
     )
-    decided = materialize(found.groupBy("bucket").applyInArrow(_decide, DECIDED), "contexts")
+    decided = materialize(found.groupBy("bucket").applyInArrow(_decide, DECIDED), "contexts", BATCH_ROWS)
     # Both meetings with the texts use the same columns, hence one shuffle of them.
     asked = decided.where(F.col("kind") == ASKED)
     sent = (

@@ -1,12 +1,16 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from ledgerlark.llm import bbit_minhash, slack_packing, suffix_dedup
+from ledgerlark.sources.scratch import BATCH_ROWS, materialize, scratch_path
 
 
 def stages(spark, docs):
@@ -97,3 +101,32 @@ def test_empty_table_and_packing_of_what_is_left(make, spark):
     some = make([(1, "one two three"), (2, "one two"), (None, "x")])
     packed = corpus_pipeline.packing(spark, some, "").collect()
     assert sorted(r.length for r in packed) == [2, 3, 4] and len({r.sequence_id for r in packed}) == 1
+
+
+def test_texts_go_to_python_in_small_batches(make, spark, monkeypatch):
+    """Workers are used by all stages, so a stage that holds many texts takes memory from the others."""
+    seen = {}
+
+    def noted(df, label, batch_rows=None):
+        seen[label] = batch_rows
+        return materialize(df, label, batch_rows)
+
+    for module in (corpus_pipeline, bbit_minhash, suffix_dedup, slack_packing):
+        monkeypatch.setattr(module, "materialize", noted)
+    assert corpus_pipeline.run(spark, one_file(make, spark)).count() == 3
+    steps = ("languages", "signatures", "shingle_sets", "contexts", "pieces")
+    assert {s: seen[s] for s in steps} == dict.fromkeys(steps, BATCH_ROWS)
+    # A worker's arrays over texts are cut into segments too.
+    tracemalloc.start()
+    data = np.random.default_rng(1).integers(97, 123, 3 << 20, dtype=np.uint8)
+    suffix_dedup.contexts(data, np.arange(0, len(data) + 1, 2048))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+
+
+def one_file(make, spark):
+    folder = scratch_path(spark, "documents")
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(50))) for i in range(3)]
+    make(rows).write.parquet(f"{folder}/documents.parquet")
+    return folder

@@ -1,12 +1,16 @@
 """Exact BM25 top-k with block-max pruning, per shard, merged with global statistics.
 
 Document counts of terms, the number of documents and their mean length come from the whole corpus, so
-a shard's scores need no correction. A shard holds about ``shard_bytes`` of text: an inverted index
-with the largest contribution of each term in each block of ``BLOCK`` documents, and the documents'
-postings. A query's lists are added up from its rarest term on. A document's bound is its sum so far and
-the weighted maxima of its block for the terms that are left; documents with a bound below the k-th
-largest sum are out, and when few are left, blocks that hold some are opened and these scored in full. The
-queries pass through each shard as a stream, so a task holds one shard and one batch of queries.
+a shard's scores need no correction. A shard holds at most about ``shard_bytes`` of text: inverted lists,
+the largest contribution of each common term in each block of ``BLOCK`` documents, and the documents'
+postings. A query's lists are added up for its rarer terms. A document's bound is that sum and the weighted
+maxima of its block for the common terms; blocks are opened for documents whose bound reaches the k-th best
+score, and these are scored in full. The queries pass through each shard as a stream, so a task holds one
+shard and one batch of queries.
+
+Shards are searched in rounds, each over ``GROW - 1`` times the documents so far. The k-th best score of the
+rounds before goes along with a query, so a round returns about ``GROW - 1`` times k rows a query, however
+many shards it has.
 """
 
 from __future__ import annotations
@@ -18,15 +22,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerlark.llm.shingles import word_hashes
-from ledgerlark.sources.scratch import materialize
+from ledgerlark.sources.scratch import BATCH_ROWS, materialize
 
 K1, B = 1.2, 0.75
-BLOCK = 32
-# Documents, times k, that are scored in full without adding up more lists first.
-FEW = 8
-# Entries of lists, times documents, that are added up first, and how many times as many at each further step.
-FIRST, MORE = 8, 3
-SHARD_BYTES = 16 << 20
+BLOCK = 8
+# A term in more than this share of a shard's documents is common.
+COMMON = 0.2
+# Documents, times k, that are opened to get a better limit for the others.
+FEW = 2
+# Sums of lists have rounded terms, and sums in another order may differ in the last digits.
+SLACK = 1 + 1e-6
+SHARD_BYTES = 64 << 20
+# The first round is that part of a shard; after each round at most GROW times as much text is done.
+FIRST, GROW = 4, 4
+# Queries beyond so many are dealt over several tasks a shard, as long as a round has fewer than WIDE tasks.
+SLICE, WIDE = 20_000, 64
+PLACES = 1 << 30
+CHUNK = 1 << 20
 NO_ID = -(1 << 63)
 
 
@@ -73,36 +85,86 @@ class Shard:
     """The index of one shard's documents."""
 
     def __init__(self, ids: list[int], lists: list[np.ndarray], mean: float, block: int = BLOCK):
-        order = np.argsort([len(x) for x in lists], kind="stable")  # alike lengths make tight bounds
+        counted = [np.unique(x, return_counts=True) for x in lists]
+        self._build(ids, [x for x, _ in counted], [n for _, n in counted], [len(x) for x in lists], mean, block)
+
+    @classmethod
+    def of_counts(
+        cls, ids: list[int], terms: list[np.ndarray], counts: list[np.ndarray], lengths: list[int], mean: float
+    ) -> Shard:
+        """The index of documents given by their sorted distinct terms, how often each has these, and its words.
+
+        The lists of terms and counts are emptied.
+        """
+        shard = cls.__new__(cls)
+        shard._build(ids, terms, counts, lengths, mean, BLOCK)
+        return shard
+
+    def _build(self, ids, terms, counts, lengths, mean, block) -> None:
+        order = np.argsort(lengths, kind="stable")  # alike lengths make tight bounds
         self.ids = np.array(ids, dtype=np.int64)[order]
-        self.block = block
-        terms, impacts, sizes = [], [], []
-        for i in order:
-            found, tf = np.unique(lists[i], return_counts=True)
-            terms.append(found)
-            impacts.append(tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(lists[i]) / mean)))
-            sizes.append(len(found))
-        flat = np.concatenate([*terms, np.zeros(0, np.uint64)])
-        self.vocabulary, self.terms = np.unique(flat, return_inverse=True)
-        self.impacts = np.concatenate([*impacts, np.zeros(0)])
+        self.block, self.blocks = block, -(-len(ids) // block)
+        self.norm = K1 * (1 - B + B * np.array(lengths, dtype=np.int64)[order] / mean)
+        sizes = np.array([len(terms[i]) for i in order], dtype=np.int64)
         self.starts = np.append(0, np.cumsum(sizes)).astype(np.int64)
-        document = np.repeat(np.arange(len(sizes)), sizes)
-        self.blocks = -(-len(sizes) // block)
-        # Inverted lists of blocks: the largest impact of each term in each.
-        cell = self.terms * max(1, self.blocks) + document // block
-        by = np.argsort(cell, kind="stable")
-        # Inverted lists of documents, in the same order.
-        self.list_document, self.list_impact = document[by], self.impacts[by]
-        self.list_start = np.searchsorted(self.terms[by], np.arange(len(self.vocabulary) + 1))
-        cells, first = np.unique(cell[by], return_index=True)
-        self.maxima = np.maximum.reduceat(self.impacts[by], first) if len(first) else np.zeros(0)
-        self.cell_block = cells % max(1, self.blocks)
-        self.cell_start = np.searchsorted(cells // max(1, self.blocks), np.arange(len(self.vocabulary) + 1))
+        self.counts = np.concatenate([*(counts[i] for i in order), np.zeros(0, np.int64)], dtype=np.int32, casting="unsafe")
+        flat = np.concatenate([*(terms[i] for i in order), np.zeros(0, np.uint64)])
+        terms.clear()
+        counts.clear()
+        # Inverted lists of documents.
+        by = np.argsort(flat, kind="stable")
+        flat = flat[by]
+        new = np.ones(len(flat), dtype=bool)
+        new[1:] = flat[1:] != flat[:-1]
+        self.vocabulary = flat[new]
+        self.list_start = np.append(np.flatnonzero(new), len(flat))
+        self.terms = np.empty(len(flat), np.int32)
+        self.terms[by] = np.cumsum(new, dtype=np.int32) - 1
+        document = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        impact = np.empty(len(flat), np.float32)
+        for start in range(0, len(flat), CHUNK):
+            part = slice(start, start + CHUNK)
+            impact[part] = self._impacts(part, document[part])
+        self.list_impact = impact[by]
+        self.list_document = document[by]
+        # Of common terms the impact in each document, and the largest in each block.
+        common = np.flatnonzero(np.diff(self.list_start) > COMMON * len(sizes))
+        self.row = np.full(len(self.vocabulary), -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.maxima = np.zeros((len(common), self.blocks), np.float32)
+        self.common_impact = np.zeros((len(sizes), len(common)), np.float32)
+        for i, term in enumerate(common):
+            own = slice(self.list_start[term], self.list_start[term + 1])
+            np.maximum.at(self.maxima[i], self.list_document[own] // block, self.list_impact[own])
+            self.common_impact[self.list_document[own], i] = self.list_impact[own]
         self.weights = np.zeros(len(self.vocabulary))
         self.opened = 0
 
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[int, float]]:
-        """The ``k`` best documents that share a term: score downwards, then id upwards."""
+    def _impacts(self, postings, document: np.ndarray) -> np.ndarray:
+        tf = self.counts[postings]
+        return tf * (K1 + 1) / (tf + self.norm[document])
+
+    def _sums(self, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """For each document the contributions of the terms ``at``."""
+        if not len(at):
+            return np.zeros(len(self.ids))
+        lo, hi = self.list_start[at], self.list_start[at + 1]
+        lists = [slice(a, b) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
+        impacts = np.concatenate([self.list_impact[x] for x in lists]) * np.repeat(weights, hi - lo)
+        documents = np.concatenate([self.list_document[x] for x in lists])
+        return np.bincount(documents, weights=impacts, minlength=len(self.ids))
+
+    def _scores(self, docs: np.ndarray) -> np.ndarray:
+        """The scores of ``docs`` by all their terms, with the weights set."""
+        index, size = _joined(self.starts, docs)
+        impacts = self._impacts(index, np.repeat(docs, size))
+        return np.bincount(
+            np.repeat(np.arange(len(docs)), size), weights=self.weights[self.terms[index]] * impacts,
+            minlength=len(docs),
+        )
+
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float = 0.0) -> list[tuple[int, float]]:
+        """The ``k`` best documents that share a term and score ``least`` or more: score downwards, then id upwards."""
         if not len(self.vocabulary) or not len(terms):
             return []
         at = np.minimum(np.searchsorted(self.vocabulary, terms), len(self.vocabulary) - 1)
@@ -110,64 +172,68 @@ class Shard:
         at, weights = at[here], weights[here]
         if not len(at):
             return []
+        self.weights[at] = weights
         rare = np.argsort(self.list_start[at + 1] - self.list_start[at], kind="stable")
         at, weights = at[rare], weights[rare]
-        lo, hi = self.list_start[at], self.list_start[at + 1]
-        ends = np.cumsum(hi - lo)
-        partial, done, most = np.zeros(len(self.ids)), 0, FIRST * len(self.ids)
-        while True:
-            # The rarest terms' lists are added up; what the others can add is bounded by block.
-            upto = max(done + 1, int(np.searchsorted(ends, most, side="right")))
-            lists = [slice(a, b) for a, b in zip(lo[done:upto].tolist(), hi[done:upto].tolist(), strict=True)]
-            partial += np.bincount(
-                np.concatenate([self.list_document[x] for x in lists]),
-                weights=np.concatenate([self.list_impact[x] * w for x, w in zip(lists, weights[done:upto], strict=True)]),
-                minlength=len(partial),
-            )
-            done, most = upto, most * MORE
-            cells, many = _joined(self.cell_start, at[done:])
-            bounds = np.bincount(
-                self.cell_block[cells], weights=self.maxima[cells] * np.repeat(weights[done:], many),
-                minlength=self.blocks,
-            )
-            possible = partial + np.repeat(bounds, self.block)[: len(partial)]
-            least = np.partition(partial, -k)[-k] if len(partial) >= k else 0.0
-            # Sums in another order may differ in the last digits.
-            docs = np.flatnonzero((possible * (1 + 1e-9) >= least) & (possible > 0))
-            if done >= len(at) or len(docs) <= FEW * k:
-                break
+        common = self.row[at] >= 0
+        row, heavy = self.row[at[common]], weights[common]
+        # The rarer terms' lists are added up; what the common ones can add is bounded by block.
+        sums = self._sums(at[~common], weights[~common])
+        possible = sums + np.repeat(heavy @ self.maxima[row], self.block)[: len(sums)]
+
+        def limit(sums: np.ndarray) -> float:
+            """``least``, or a score that k documents of these sums reach."""
+            return max(least, float(np.partition(sums, -k)[-k]) / SLACK) if len(sums) >= k else least
+
+        def added(docs: np.ndarray, sums: np.ndarray, upto: int) -> np.ndarray:
+            return sums + self.common_impact[docs[:, None], row[:upto]] @ heavy[:upto]
+
+        least = limit(sums)
+        docs = np.flatnonzero((possible * SLACK >= least) & (possible > 0))
+        sums, possible = sums[docs], possible[docs]
+        while len(docs) > FEW * k and len(row):
+            # The likeliest ones give a better limit; for the others half of the common terms are added.
+            likely = np.argpartition(sums, -FEW * k)[-FEW * k :]
+            least, half = limit(added(docs[likely], sums[likely], len(row))), (len(row) + 1) // 2
+            near = possible * SLACK >= least
+            docs = docs[near]
+            sums = added(docs, sums[near], half)
+            row, heavy = row[half:], heavy[half:]
+            possible = sums + (heavy @ self.maxima[row])[docs // self.block]
+            near = possible * SLACK >= least
+            docs, sums, possible = docs[near], sums[near], possible[near]
         self.opened += len(np.unique(docs // self.block))
-        self.weights[at] = weights
-        index, size = _joined(self.starts, docs)
-        got = np.bincount(
-            np.repeat(np.arange(len(docs)), size),
-            weights=self.weights[self.terms[index]] * self.impacts[index], minlength=len(docs),
-        )
-        docs, scores = docs[got > 0], got[got > 0]
+        sums = added(docs, sums, len(row))
+        least = limit(sums)
+        docs = docs[sums * SLACK >= least]
+        # The few that are left are scored by their own postings.
+        got = self._scores(docs)
+        self.weights[at] = 0.0
+        docs, scores = docs[(got > 0) & (got >= least)], got[(got > 0) & (got >= least)]
         best = np.lexsort((self.ids[docs], -scores))[:k]
         ids, scores = self.ids[docs[best]], scores[best]
-        self.weights[at] = 0.0
         return list(zip(ids.tolist(), scores.tolist(), strict=True))
 
 
 def _searched(batches, k: int, mean: float):
     """Rows of a shard come documents first, then queries."""
-    shard, index, ids, lists = None, None, [], []
+    shard, index, held = None, None, ([], [], [], [])
     for batch in batches:
         out: list[tuple[int, int, float]] = []
-        columns = [batch.column(n) for n in ("shard", "id", "text", "terms", "weights")]
-        for number, key, text, terms, weights in zip(*columns, strict=True):
+        columns = [batch.column(n) for n in ("shard", "id", "text", "terms", "weights", "least")]
+        for number, key, text, terms, weights, least in zip(*columns, strict=True):
             if number.as_py() != shard:
-                shard, index, ids, lists = number.as_py(), None, [], []
+                shard, index, held = number.as_py(), None, ([], [], [], [])
             if not terms.is_valid:
-                ids.append(key.as_py())
-                lists.append(_terms(text))
+                words = _terms(text)
+                found, counts = np.unique(words, return_counts=True)
+                for kept, x in zip(held, (key.as_py(), found, counts.astype(np.int32), len(words)), strict=True):
+                    kept.append(x)
                 continue
             if index is None:
-                index = Shard(ids, lists, mean)
-                ids, lists = [], []
-            wanted = np.array(terms.as_py(), dtype=np.int64).view(np.uint64)
-            found = index.search(wanted, np.array(weights.as_py(), dtype=float), k)
+                index, held = Shard.of_counts(*held, mean), ([], [], [], [])
+            wanted = terms.values.to_numpy().view(np.uint64)
+            found = index.search(wanted, weights.values.to_numpy(), k, least.as_py())
             out += [(key.as_py(), i, s) for i, s in found]
         columns = list(zip(*out, strict=True)) if out else [[], [], []]
         types = [pa.int64(), pa.int64(), pa.float64()]
@@ -176,6 +242,18 @@ def _searched(batches, k: int, mean: float):
         )
 
 
+def _rounds(size: int, shard_bytes: int) -> list[tuple[int, int, int]]:
+    """For each round the places its documents have, from and to, and its number of shards."""
+    done, ends = max(1, shard_bytes // FIRST), []
+    while done < size:
+        ends.append(done)
+        done *= GROW
+    ends.append(max(1, size))
+    places = [0, *(end * PLACES // ends[-1] for end in ends)]
+    shards = [-(-(b - a) // shard_bytes) for a, b in zip([0, *ends], ends, strict=False)]
+    return list(zip(places, places[1:], shards, strict=False))
+
+
 def top_k(
     docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text",
     shard_bytes: int = SHARD_BYTES,
@@ -203,29 +281,46 @@ def top_k(
     total, words = (whole["n"], whole["words"]) if whole else (0, 0)
     mean = max(1.0, words / max(1, total))
     size = docs.agg(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0
-    shards = max(1, -(-size // shard_bytes))
     idf = F.log(1 + (F.lit(float(total)) - F.col("n") + 0.5) / (F.col("n") + 0.5))
     weighted = (
         asked.mapInArrow(_query_terms, "query long, term long, tf long")
         .groupBy("query", "term").agg(F.sum("tf").alias("tf"))
         .join(counts.where("term IS NOT NULL"), "term")
         .groupBy("query")
-        .agg(F.sort_array(F.collect_list(F.struct("term", (F.col("tf") * idf).alias("w")))).alias("words"))
+        # Common terms come first and in one order, so neighbouring queries compress well.
+        .agg(F.sort_array(F.collect_list(F.struct("n", "term", (F.col("tf") * idf).alias("w"))), asc=False).alias("words"))
+        .select("query", F.col("words.term").alias("terms"), F.col("words.w").alias("weights"))
     )
     weighted = materialize(weighted, "queries")
-    documents = texts.select(
-        F.pmod(F.xxhash64("id", "text"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"),
-        "id", "text", F.lit(None).cast("array<bigint>").alias("terms"),
-        F.lit(None).cast("array<double>").alias("weights"),
-    )
-    passed = weighted.select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"),
-        F.col("query").alias("id"), F.lit(None).cast("binary").alias("text"),
-        F.col("words.term").alias("terms"), F.col("words.w").alias("weights"),
-    )
-    streams = documents.unionByName(passed).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
-    found = streams.mapInArrow(lambda it: _searched(it, k, mean), "query long, id long, score double")
+    many = -(-weighted.count() // SLICE)
     rank = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "id"))
-    best = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    best = None
+    for first, last, shards in _rounds(size, shard_bytes):
+        slices = max(1, min(many, WIDE // shards))
+        limit = F.lit(0.0).alias("least")
+        passed = weighted
+        if best is not None:
+            kth = best.where(F.col("rank") == k).select("query", F.col("score").alias("kth"))
+            passed, limit = weighted.join(kth, "query", "left"), F.coalesce("kth", F.lit(0.0)).alias("least")
+        place = F.pmod(F.xxhash64("id", "text"), F.lit(PLACES))
+        shard = F.floor((place - first) * shards / F.lit(last - first)).cast("int")
+        documents = texts.where((place >= first) & (place < last)).select(
+            F.explode(F.sequence(shard * slices, shard * slices + (slices - 1))).alias("shard"),
+            F.lit(0).alias("kind"), "id", "text", F.lit(None).cast("array<bigint>").alias("terms"),
+            F.lit(None).cast("array<double>").alias("weights"), F.lit(None).cast("double").alias("least"),
+        )
+        mine = F.pmod(F.xxhash64("query"), F.lit(slices)).cast("int")
+        passed = passed.select(
+            F.explode(F.sequence(mine, F.lit((shards - 1) * slices) + mine, F.lit(slices))).alias("shard"),
+            F.lit(1).alias("kind"), F.col("query").alias("id"), F.lit(None).cast("binary").alias("text"),
+            "terms", "weights", limit,
+        )
+        streams = documents.unionByName(passed).repartitionById(shards * slices, "shard")
+        found = streams.sortWithinPartitions("shard", "kind").mapInArrow(
+            lambda it: _searched(it, k, mean), "query long, id long, score double"
+        )
+        if best is not None:
+            found = best.drop("rank").unionByName(found)
+        best = materialize(found.withColumn("rank", rank).where(F.col("rank") <= k), "best", BATCH_ROWS)
     real = lambda c: F.nullif(F.col(c), F.lit(NO_ID))
     return best.select(real("query").alias("query_id"), "rank", real("id").alias(id_col), "score")

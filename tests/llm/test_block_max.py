@@ -90,3 +90,23 @@ def test_whole_texts_as_queries_open_few_blocks():
             scores[i] = (np.where(u[at] == has, w[at], 0.0) * tf * 2.2 / (tf + 1.2)).sum()
         best = np.lexsort((np.arange(1500), -scores.round(9)))[:10]
         assert [i for i, _ in got] == best.tolist() and [s for _, s in got] == pytest.approx(scores[best])
+
+
+def test_rounds_grow_and_a_known_limit_bounds_the_rows():
+    """A shard returns only what can still be among the best, so rows don't grow with shards times queries."""
+    for size in (0, 1, 900, 10_000, 123_457):
+        rounds = block_max._rounds(size, 1000)
+        assert [a for a, _, _ in rounds] == [0, *(b for _, b, _ in rounds[:-1])]
+        assert rounds[-1][1] == block_max.PLACES and all(a < b and n > 0 for a, b, n in rounds)
+        assert sum(n for _, _, n in rounds) <= size / 1000 + len(rounds)
+        assert len(rounds) <= 2 + np.log(max(1, size / 250)) / np.log(block_max.GROW)
+    rng = np.random.default_rng(7)
+    lists = [(rng.zipf(1.4, 80) % 3000).astype(np.uint64) for _ in range(4000)]
+    parts = [block_max.Shard(list(range(a, a + 400)), lists[a : a + 400], 80.0) for a in range(0, 4000, 400)]
+    asked, counts = np.unique(lists[9], return_counts=True)
+    weights = counts * 1.5
+    every = sorted((-s, i) for p in parts for i, s in p.search(asked, weights, 400))
+    least = -every[9][0]
+    found = [p.search(asked, weights, 10, least) for p in parts]
+    assert sorted((-s, i) for x in found for i, s in x)[:10] == every[:10]
+    assert sum(map(len, found)) == sum(-s >= least for s, _ in every) < 30

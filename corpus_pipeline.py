@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerlark.llm import bbit_minhash, chunk_recipes, ppm_language, slack_packing, suffix_dedup
 from ledgerlark.llm.membership import without
 from ledgerlark.llm.queries import WORD_TOKENIZER
-from ledgerlark.sources.scratch import BATCH_ROWS, materialize
+from ledgerlark.sources.scratch import BATCH_ROWS, materialize, numbered
 
 
 def _free(docs: DataFrame, name: str) -> str:
@@ -25,21 +25,30 @@ def _free(docs: DataFrame, name: str) -> str:
 
 
 def _kept(docs: DataFrame, choose: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """The rows of ``docs`` that ``choose`` keeps, told apart by a number that is written with them."""
+    """The rows of ``docs`` that ``choose`` keeps, told apart by a number."""
     row = _free(docs, "row")
-    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    plain = numbered.select("doc_id", "text", F.col(row).alias("row"))
+    rows = numbered(docs, row)
+    plain = rows.select("doc_id", "text", F.col(row).alias("row"))
     kept = choose(plain, "row").select(F.col("row").alias(row))
-    dropped = materialize(numbered.select(row).join(kept, row, "left_anti"), "dropped")
-    return without(numbered, dropped, row).select(docs.columns)
+    dropped = materialize(rows.select(row).join(kept, row, "left_anti"), "dropped")
+    return without(rows, dropped, row).select(docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that have no language go: null texts and texts without a letter, and only these.
 
-    A null ``lang`` becomes the predicted language. Rows are decided each for itself.
+    A null ``lang`` becomes the predicted language. Rows are decided each for itself; only those without a
+    ``lang`` are shuffled, and of the others no text is stored.
     """
-    return materialize(ppm_language.with_language(docs), "languages", BATCH_ROWS)
+    row, told = _free(docs, "row"), _free(docs, "told")
+    rows = numbered(docs, row)
+    plain = rows.select("doc_id", "text", "lang", F.col(row).alias("row"))
+    languages = materialize(ppm_language.languages(plain, "row"), "languages", BATCH_ROWS)
+    silent = languages.where(~F.col("letter")).select(F.col("row").alias(row))
+    named = without(rows.where(F.col("lang").isNotNull()), silent, row).select(docs.columns)
+    found = languages.where("letter").select(F.col("row").alias(row), F.col("language").alias(told))
+    filled = rows.where(F.col("lang").isNull()).join(found, row).withColumn("lang", F.col(told))
+    return named.unionByName(filled.select(docs.columns))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

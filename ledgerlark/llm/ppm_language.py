@@ -261,12 +261,12 @@ def identify(
     )
 
 
-def with_language(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs``, with all columns, that are not rejected; a null ``lang`` becomes the predicted one.
+def languages(docs: DataFrame, row_col: str, id_col: str = "doc_id", lang_col: str = "lang") -> DataFrame:
+    """Of each row of ``docs`` its ``row_col``, the predicted ``language`` and whether there is a ``letter``.
 
-    Rejected are the texts that :func:`identify` calls ``und`` when there is a model: null ones and those
-    without a letter. Each row is decided for itself, also without a model; then a null ``lang`` stays. Only
-    the text goes to Python. Other columns may have any names.
+    Texts without a letter are those that :func:`identify` calls ``und`` when there is a model: null ones
+    too. They have no ``language``, and without a model no text has. Each row is decided for itself. Only
+    the text goes to Python.
     """
     model = fit(docs.where(~held_out(id_col)), "text", lang_col)
 
@@ -282,10 +282,5 @@ def with_language(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang
                     names[i] = model.languages[b]
             yield pd.DataFrame({"language": pd.Series(names, dtype=object), "letter": letter})
 
-    told = F.pandas_udf(predicted, "language string, letter boolean")
-    name = "_told"
-    while name in docs.columns:
-        name += "_"
-    # Not deterministic for the planner only: a filter on its result would be worked out a second time.
-    rows = docs.withColumn(name, told.asNondeterministic()("text")).where(F.col(f"{name}.letter"))
-    return rows.withColumn(lang_col, F.coalesce(lang_col, f"{name}.language")).select(docs.columns)
+    told = F.pandas_udf(predicted, "language string, letter boolean").asNondeterministic()("text").alias("told")
+    return docs.select(row_col, told).select(row_col, "told.language", "told.letter")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 import tracemalloc
 from collections import Counter
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerlark.llm import bbit_minhash, slack_packing, suffix_dedup
-from ledgerlark.sources.scratch import BATCH_ROWS, materialize, scratch_path
+from ledgerlark.sources.scratch import BATCH_ROWS, is_stored, materialize, numbered, scratch_path
 
 
 def stages(spark, docs):
@@ -125,6 +126,59 @@ def test_texts_go_to_python_in_small_batches(make, spark, monkeypatch):
     assert peak < 60 << 20
 
 
+def stored_bytes(folder):
+    return sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(folder) for f in files)
+
+
+def test_stages_leave_no_copy_of_stored_texts(make, spark):
+    """Scratch tables outlive their stage, so a copy of the texts in each counts against the disk of all."""
+    rng = random.Random(9)
+    rows = [(i, "".join(rng.choices("abcdefghij klmnopqrstuvwxyz.", k=20_000))) for i in range(60)]
+    docs = make([*rows, rows[0], (60, "1 2")]).withColumn("lang", F.when(F.col("doc_id") > 2, F.col("lang")))
+    root = spark.conf.get("spark.checkpoint.dir")
+    for stage, kept in ((corpus_pipeline.language_id, 61), (corpus_pipeline.exact_dedup, 60)):
+        docs = materialize(docs, "input")
+        before = stored_bytes(root)
+        docs = stage(spark, docs, "")
+        assert docs.count() == kept and docs.where("lang is null").isEmpty()
+        assert stored_bytes(root) - before < sum(len(t) for _, t in rows) / 4
+
+
+def test_numbers_of_stored_rows_hold(spark, tmp_path):
+    """Also in folders with odd names, in files of many row groups, and below a filter on another column."""
+    folder = f"{tmp_path}/a b%20c+d"
+    rows = spark.range(0, 50_000, 1, 3).select((F.col("id") % 1000).alias("row_path"), F.col("id").alias("x"))
+    rows.write.option("parquet.block.size", 1 << 14).option("parquet.page.size", 1 << 10).parquet(folder)
+    docs = spark.read.parquet(folder)
+    assert is_stored(docs)
+    once = {r.x: r.row for r in numbered(docs, "row").collect()}
+    assert len(set(once.values())) == len(once) == 50_000
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        again = numbered(spark.read.parquet(folder), "row").where("x % 7 = 3 and x > 31000 and x < 31900")
+        assert {r.x: r.row for r in again.collect()} == {x: n for x, n in once.items() if x % 7 == 3 and 31000 < x < 31900}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert numbered(docs, "row").columns == [*docs.columns, "row"]
+    one = [f for f in os.listdir(folder) if f.endswith(".parquet")][0]
+    assert is_stored(spark.read.parquet(f"{folder}/{one}"))
+
+
+def test_other_rows_are_written_with_their_numbers(spark, tmp_path):
+    """A step after the scan may repeat rows, so places in files do not tell them apart."""
+    spark.range(10).write.parquet(f"{tmp_path}/x/k=1")
+    docs = spark.read.parquet(f"{tmp_path}/x/k=1")
+    for made in (docs.crossJoin(docs.select("id").toDF("b")), docs.union(docs), docs.withColumn("id", F.explode(F.array("id", "id"))),
+                 docs.where("id > 3"), spark.range(5), spark.read.parquet(f"{tmp_path}/x"), docs.withColumnRenamed("id", "_metadata"),
+                 spark.read.parquet(f"{tmp_path}/x/k=1", f"{tmp_path}/x/k=1")):
+        rows = numbered(made, "row")
+        assert not is_stored(made) or made.columns == ["id", "k"]
+        got = rows.collect()
+        assert len({r.row for r in got}) == len(got) == made.count()
+        assert sorted(got) == sorted(rows.collect())
+
+
 def one_file(make, spark):
     folder = scratch_path(spark, "documents")
     rows = [(i, " ".join(f"w{i}x{j}" for j in range(50))) for i in range(3)]

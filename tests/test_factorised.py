@@ -114,3 +114,31 @@ def test_first_and_further_arrays_share_their_shuffles(spark, tables):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     dealt = [line for line in text.splitlines() if "_deal" in line and "hashpartitioning(" in line]
     assert len([line for line in dealt if "ReusedExchange" not in line]) == len(X.SIDES)
+
+
+def test_arrays_of_all_sides_are_made_without_a_second_shuffle(spark, tables):
+    """Rows, not arrays, are shuffled, and each side's rows once."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(X.factorised(tables, 20))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    above, union, below = text.partition("Union")
+    assert union and "Exchange" not in above and above.count("Sort [") == 1
+    assert "collect_list(loans" in above and "collect_list(loans" not in below
+
+
+def test_many_small_tasks_and_known_counts_give_the_same_rows(spark, monkeypatch):
+    t = fake(spark, tables(spark, SMALL), CASES["one hot on all sides"])
+    sides = CASES["one hot on all sides"]
+    known = [(m, *(sides[s].get(m, 0) for s in X.SIDES)) for m in ("h", "a", "b", "x")]
+    counts = spark.createDataFrame(known, "member_id string, " + ", ".join(f"{s} long" for s in X.SIDES))
+    want = rows(X.wide_rows(materialize(X.factorised(t, 4, LOW), "factors")))
+    monkeypatch.setattr(X, "TASK_ROWS", 7)
+    factors = X.factorised(t, 4, LOW, counts)
+    assert factors.rdd.getNumPartitions() == 10
+    stored = materialize(factors, "factors")
+    assert rows(X.wide_rows(stored)) == want
+    held = stored.where("member_id = 'h'")
+    assert held.where("not sliced").count() == 0
+    assert {s: held.agg(F.sum(F.size(s))).first()[0] for s in X.SIDES} == {s: sides[s]["h"] for s in X.SIDES}

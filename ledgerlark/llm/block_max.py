@@ -3,9 +3,10 @@
 Document counts of terms, the number of documents and their mean length come from the whole corpus, so
 a shard's scores need no correction. A shard holds at most about ``shard_bytes`` of text: inverted lists,
 the largest contribution of each common term in each block of ``BLOCK`` documents, and the documents'
-postings. A query's lists are added up for its rarer terms. A document's bound is that sum and the weighted
-maxima of its block for the common terms; blocks are opened for documents whose bound reaches the k-th best
-score, and these are scored in full. The queries pass through each shard as a stream, so a task holds one
+postings. A query's lists are added up for its rarer terms; terms that are frequent but not common have their
+impacts as a matrix, and a batch of queries is multiplied with it at once. A document's bound is that sum and
+the weighted maxima of its block for the common terms; blocks are opened for documents whose bound reaches the
+k-th best score, and these are scored in full. The queries pass through each shard as a stream, so a task holds one
 shard and one batch of queries.
 
 Shards are searched in rounds, each over ``GROW - 1`` times the documents so far. The k-th best score of the
@@ -28,10 +29,16 @@ K1, B = 1.2, 0.75
 BLOCK = 8
 # A term in more than this share of a shard's documents is common.
 COMMON = 0.2
+# Terms in more than this share, fewer than so many, are rows of a matrix of at most so many bytes.
+FREQUENT, MOST_FREQUENT, MATRIX_BYTES = 0.01, 1000, 64 << 20
+# Queries whose sums are made at once, and the bytes of these sums.
+TOGETHER, SUMS_BYTES = 64, 16 << 20
+# Up to so many documents are scored one by one, by the query's terms only.
+SINGLY = 64
 # Documents, times k, that are opened to get a better limit for the others.
 FEW = 2
-# Sums of lists have rounded terms, and sums in another order may differ in the last digits.
-SLACK = 1 + 1e-6
+# Sums of up to MOST_FREQUENT rounded terms are made in 32 bits, with an error of 2^-24 a term.
+SLACK = 1 + 1e-4
 SHARD_BYTES = 64 << 20
 # The first round is that part of a shard; after each round at most GROW times as much text is done.
 FIRST, GROW = 4, 4
@@ -127,8 +134,20 @@ class Shard:
             impact[part] = self._impacts(part, document[part])
         self.list_impact = impact[by]
         self.list_document = document[by]
-        # Of common terms the impact in each document, and the largest in each block.
-        common = np.flatnonzero(np.diff(self.list_start) > COMMON * len(sizes))
+        del flat, by, new, document, impact
+        # Of frequent terms the impact in each document.
+        held = np.diff(self.list_start)
+        frequent = np.flatnonzero((held > FREQUENT * len(sizes)) & (held <= COMMON * len(sizes)))
+        most = min(MOST_FREQUENT, MATRIX_BYTES // (4 * max(1, len(sizes))))
+        frequent = frequent[np.argsort(-held[frequent], kind="stable")[:most]]
+        self.matrix_row = np.full(len(self.vocabulary), -1, np.int32)
+        self.matrix_row[frequent] = np.arange(len(frequent))
+        self.matrix = np.zeros((len(frequent), len(sizes)), np.float32)
+        for i, term in enumerate(frequent):
+            own = slice(self.list_start[term], self.list_start[term + 1])
+            self.matrix[i, self.list_document[own]] = self.list_impact[own]
+        # Of common terms also the largest in each block.
+        common = np.flatnonzero(held > COMMON * len(sizes))
         self.row = np.full(len(self.vocabulary), -1, np.int32)
         self.row[common] = np.arange(len(common))
         self.maxima = np.zeros((len(common), self.blocks), np.float32)
@@ -148,37 +167,77 @@ class Shard:
         """For each document the contributions of the terms ``at``."""
         if not len(at):
             return np.zeros(len(self.ids))
-        lo, hi = self.list_start[at], self.list_start[at + 1]
-        lists = [slice(a, b) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
-        impacts = np.concatenate([self.list_impact[x] for x in lists]) * np.repeat(weights, hi - lo)
-        documents = np.concatenate([self.list_document[x] for x in lists])
-        return np.bincount(documents, weights=impacts, minlength=len(self.ids))
-
-    def _scores(self, docs: np.ndarray) -> np.ndarray:
-        """The scores of ``docs`` by all their terms, with the weights set."""
-        index, size = _joined(self.starts, docs)
+        index, n = _joined(self.list_start, at)
+        impacts = self.list_impact[index] * np.repeat(weights, n)
+        return np.bincount(self.list_document[index], weights=impacts, minlength=len(self.ids))
+
+    def _scores(self, docs: np.ndarray, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The scores of ``docs`` by the terms ``at``, which go upwards; either way added in this order."""
+        if len(docs) > SINGLY:
+            self.weights[at] = weights
+            index, size = _joined(self.starts, docs)
+            by = self.weights[self.terms[index]]
+            self.weights[at] = 0.0
+        else:
+            found, by, short = [], [], at.astype(np.int32)
+            for lo, hi in zip(self.starts[docs].tolist(), self.starts[docs + 1].tolist(), strict=True):
+                own = self.terms[lo:hi]
+                place = np.searchsorted(own, short)
+                place[place == len(own)] = 0
+                here = own[place] == short
+                found.append(place[here] + lo)
+                by.append(weights[here])
+            size = np.array([len(x) for x in found], dtype=np.int64)
+            index = np.concatenate([*found, np.zeros(0, np.int64)])
+            by = np.concatenate([*by, np.zeros(0)])
         impacts = self._impacts(index, np.repeat(docs, size))
-        return np.bincount(
-            np.repeat(np.arange(len(docs)), size), weights=self.weights[self.terms[index]] * impacts,
-            minlength=len(docs),
-        )
+        return np.bincount(np.repeat(np.arange(len(docs)), size), weights=by * impacts, minlength=len(docs))
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float = 0.0) -> list[tuple[int, float]]:
         """The ``k`` best documents that share a term and score ``least`` or more: score downwards, then id upwards."""
-        if not len(self.vocabulary) or not len(terms):
-            return []
-        at = np.minimum(np.searchsorted(self.vocabulary, terms), len(self.vocabulary) - 1)
-        here = self.vocabulary[at] == terms
-        at, weights = at[here], weights[here]
-        if not len(at):
-            return []
-        self.weights[at] = weights
-        rare = np.argsort(self.list_start[at + 1] - self.list_start[at], kind="stable")
-        at, weights = at[rare], weights[rare]
-        common = self.row[at] >= 0
-        row, heavy = self.row[at[common]], weights[common]
+        return self.search_all([(terms, weights, least)], k)[0]
+
+    def search_all(self, queries: list[tuple[np.ndarray, np.ndarray, float]], k: int) -> list[list[tuple[int, float]]]:
+        """:meth:`search` for each of ``queries``: terms, weights, least score."""
+        out: list[list[tuple[int, float]]] = [[] for _ in queries]
+        if not len(self.vocabulary) or not queries:
+            return out
+        terms, inverse = np.unique(np.concatenate([q[0] for q in queries]), return_inverse=True)
+        place = np.minimum(np.searchsorted(self.vocabulary, terms), len(self.vocabulary) - 1)
+        place[self.vocabulary[place] != terms] = -1
+        ends = np.cumsum([len(q[0]) for q in queries])[:-1]
+        held, known = np.diff(self.list_start), []
+        for i, (at, (_, weights, _)) in enumerate(zip(np.split(place[inverse], ends), queries, strict=True)):
+            here = np.flatnonzero(at >= 0)
+            here = here[np.argsort(at[here], kind="stable")]
+            if len(here):
+                at = at[here]
+                known.append((int(at[np.argmax(held[at])]), i, at, weights[here]))
+        # Queries with the same most frequent term are much alike: together they use few rows of the matrix.
+        known.sort(key=lambda x: x[:2])
+        together = max(1, min(TOGETHER, SUMS_BYTES // (4 * len(self.ids))))
+        for start in range(0, len(known), together):
+            some = known[start : start + together]
+            mixed = np.zeros((len(some), len(self.matrix)), np.float32)
+            for j, (_, _, at, weights) in enumerate(some):
+                row = self.matrix_row[at]
+                mixed[j, row[row >= 0]] = weights[row >= 0]
+            used = mixed.any(axis=0)
+            few = used.sum() < len(used) / 2  # else a copy of the rows does not pay
+            sums = mixed[:, used] @ self.matrix[used] if few else mixed @ self.matrix
+            for j, (_, i, at, weights) in enumerate(some):
+                out[i] = self._best(at, weights, sums[j], k, queries[i][2])
+        return out
+
+    def _best(self, at, weights, sums: np.ndarray, k: int, least: float) -> list[tuple[int, float]]:
+        """The best documents for the terms ``at``, which go upwards; ``sums`` are those of frequent terms."""
         # The rarer terms' lists are added up; what the common ones can add is bounded by block.
-        sums = self._sums(at[~common], weights[~common])
+        common = self.row[at] >= 0
+        rare = ~common & (self.matrix_row[at] < 0)
+        sums = sums + self._sums(at[rare], weights[rare])
+        row, heavy = self.row[at[common]], weights[common].astype(np.float32)
+        order = np.argsort(self.list_start[at[common] + 1] - self.list_start[at[common]], kind="stable")
+        row, heavy = row[order], heavy[order]
         possible = sums + np.repeat(heavy @ self.maxima[row], self.block)[: len(sums)]
 
         def limit(sums: np.ndarray) -> float:
@@ -188,8 +247,9 @@ class Shard:
         def added(docs: np.ndarray, sums: np.ndarray, upto: int) -> np.ndarray:
             return sums + self.common_impact[docs[:, None], row[:upto]] @ heavy[:upto]
 
-        least = limit(sums)
-        docs = np.flatnonzero((possible * SLACK >= least) & (possible > 0))
+        if least <= 0:
+            least = limit(sums)
+        docs = np.flatnonzero((possible >= least / SLACK) & (possible > 0))
         sums, possible = sums[docs], possible[docs]
         while len(docs) > FEW * k and len(row):
             # The likeliest ones give a better limit; for the others half of the common terms are added.
@@ -207,8 +267,7 @@ class Shard:
         least = limit(sums)
         docs = docs[sums * SLACK >= least]
         # The few that are left are scored by their own postings.
-        got = self._scores(docs)
-        self.weights[at] = 0.0
+        got = self._scores(docs, at, weights)
         docs, scores = docs[(got > 0) & (got >= least)], got[(got > 0) & (got >= least)]
         best = np.lexsort((self.ids[docs], -scores))[:k]
         ids, scores = self.ids[docs[best]], scores[best]
@@ -218,11 +277,20 @@ class Shard:
 def _searched(batches, k: int, mean: float):
     """Rows of a shard come documents first, then queries."""
     shard, index, held = None, None, ([], [], [], [])
+    asked: list[tuple[int, tuple[np.ndarray, np.ndarray, float]]] = []
+    out: list[tuple[int, int, float]] = []
+
+    def answer() -> None:
+        for (query, _), found in zip(asked, index.search_all([q for _, q in asked], k) if asked else [], strict=True):
+            out.extend((query, i, s) for i, s in found)
+        asked.clear()
+
     for batch in batches:
-        out: list[tuple[int, int, float]] = []
+        out.clear()
         columns = [batch.column(n) for n in ("shard", "id", "text", "terms", "weights", "least")]
         for number, key, text, terms, weights, least in zip(*columns, strict=True):
             if number.as_py() != shard:
+                answer()
                 shard, index, held = number.as_py(), None, ([], [], [], [])
             if not terms.is_valid:
                 words = _terms(text)
@@ -233,8 +301,8 @@ def _searched(batches, k: int, mean: float):
             if index is None:
                 index, held = Shard.of_counts(*held, mean), ([], [], [], [])
             wanted = terms.values.to_numpy().view(np.uint64)
-            found = index.search(wanted, weights.values.to_numpy(), k, least.as_py())
-            out += [(key.as_py(), i, s) for i, s in found]
+            asked.append((key.as_py(), (wanted, weights.values.to_numpy(), least.as_py())))
+        answer()
         columns = list(zip(*out, strict=True)) if out else [[], [], []]
         types = [pa.int64(), pa.int64(), pa.float64()]
         yield pa.RecordBatch.from_arrays(

@@ -110,3 +110,29 @@ def test_rounds_grow_and_a_known_limit_bounds_the_rows():
     found = [p.search(asked, weights, 10, least) for p in parts]
     assert sorted((-s, i) for x in found for i, s in x)[:10] == every[:10]
     assert sum(map(len, found)) == sum(-s >= least for s, _ in every) < 30
+
+
+def test_queries_asked_together_share_the_sums_of_frequent_terms(monkeypatch):
+    """Only lists of few documents are added up query by query; rows are those of queries asked alone."""
+    rng = np.random.default_rng(11)
+    lists = [(rng.zipf(1.3, 120) % 5000).astype(np.uint64) for _ in range(2000)]
+    lists[100:300] = [lists[100]] * 200
+    index = block_max.Shard(list(range(2000)), lists, 120.0)
+    added = []
+    sums = index._sums
+
+    def counted(at, weights):
+        added.extend(np.diff(index.list_start)[at].tolist())
+        return sums(at, weights)
+
+    monkeypatch.setattr(index, "_sums", counted)
+    asked = [np.unique(lists[i], return_counts=True) for i in range(0, 2000, 20)]
+    asked = [(u, n * rng.uniform(0.5, 3, len(u)), 0.0) for u, n in asked]
+    asked += [(np.zeros(0, np.uint64), np.zeros(0), 0.0), (np.array([1 << 60], np.uint64), np.ones(1), 0.0)]
+    together = index.search_all(asked, 10)
+    assert max(added) <= block_max.FREQUENT * 2000
+    assert together == [index.search(u, w, 10) for u, w, _ in asked] and together[-2:] == [[], []]
+    copies = index.search(*asked[5][:2], 250)
+    assert [i for i, _ in copies[:200]] == list(range(100, 300)) and len({s for _, s in copies[:200]}) == 1
+    # Scored one by one or many at once, documents have the very same scores.
+    assert copies[0] == together[5][0]

@@ -142,3 +142,11 @@ def test_many_small_tasks_and_known_counts_give_the_same_rows(spark, monkeypatch
     held = stored.where("member_id = 'h'")
     assert held.where("not sliced").count() == 0
     assert {s: held.agg(F.sum(F.size(s))).first()[0] for s in X.SIDES} == {s: sides[s]["h"] for s in X.SIDES}
+
+
+def test_slices_of_several_sides_share_a_row(spark):
+    """A sliced member has as many rows as its longest side has slices, each with an array of every side that goes on."""
+    t = fake(spark, tables(spark, SMALL), CASES["one hot on all sides"])
+    stored = materialize(X.factorised(t, 4), "factors").where("member_id = 'h'")
+    assert stored.count() == 7 and stored.where("sliced").count() == 7
+    assert [stored.where(F.col(s).isNotNull()).count() for s in X.SIDES] == [1, 7, 3, 2]
